@@ -244,3 +244,191 @@ def q_distinct_game_ids(spark, sf_dir):
 @query("distinct_game_versions")
 def q_distinct_game_versions(spark, sf_dir):
     return tables(spark, sf_dir).team_box.select("game_id", "updated_at").distinct()
+
+
+# -- backlog and work queue (M10-M15) ----------------------------------------------------------
+from .operators import checks, merge  # noqa: E402
+from .plans import backlog, incremental  # noqa: E402
+from .sources import landing  # noqa: E402
+
+QUEUE_AS_OF = "2001-08-10 08:25:00"
+QUEUE_DAYS = 30
+RANGE_START, RANGE_END = "1996-01-01", "1996-12-31"
+UPSERT_TARGET_BEFORE = "2000-01-01"
+API_T0 = "2024-01-20 00:00:00"
+BOX_T0 = "1998-01-01 00:00:00"
+TOP20_FIRST_RUN_BEFORE = "2001-07-01"
+
+
+@query("populate_pending_dates")
+def q_populate_pending_dates(spark, sf_dir):
+    return backlog.populate_pending_dates(spark, tables(spark, sf_dir).date_status, QUEUE_AS_OF, QUEUE_DAYS)
+
+
+@query("pending_dates")
+def q_pending_dates(spark, sf_dir):
+    return backlog.pending_dates(tables(spark, sf_dir).date_status)
+
+
+@query("date_outcomes")
+def q_date_outcomes(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.date_outcomes(landing.date_outcomes(landing.game_landing(t)), t.date_status)
+
+
+@query("update_status")
+def q_update_status(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    outcomes = backlog.date_outcomes(landing.date_outcomes(landing.game_landing(t)), t.date_status)
+    return backlog.update_status(t.date_status, outcomes, QUEUE_AS_OF)
+
+
+@query("missing_boxscores")
+def q_missing_boxscores(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.missing_boxscores(t.games, t.team_box)
+
+
+@query("next_boxscore_batch")
+def q_next_boxscore_batch(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.next_boxscore_batch(t.games, t.team_box)
+
+
+@query("backlog_batches")
+def q_backlog_batches(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.backlog_batches(t.games, t.team_box)
+
+
+@query("missing_summaries")
+def q_missing_summaries(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.missing_summaries(t.games, t.game_summary)
+
+
+@query("coverage_counts")
+def q_coverage_counts(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return backlog.coverage_counts(t.games, t.team_box)
+
+
+@query("games_in_date_range")
+def q_games_in_date_range(spark, sf_dir):
+    return backlog.games_in_date_range(tables(spark, sf_dir).games, RANGE_START, RANGE_END)
+
+
+# -- incremental models (I1-I5), two runs each ---------------------------------------------------
+
+def _before(df, col: str, t0: str):
+    """The state of a source before ``t0``: rows stamped earlier, or never stamped."""
+    return df.filter(F.col(col).isNull() | (F.col(col) < F.lit(t0).cast("timestamp_ntz")))
+
+
+@query("apilogs_incremental")
+def q_apilogs_incremental(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    first = merge.materialize(spark, incremental.apilogs_incremental(_before(t.api_calls, "call_time", API_T0), None),
+                              "apilogs")
+    return incremental.apilogs_incremental(t.api_calls, first)
+
+
+def _daily_first(spark, t):
+    first = incremental.daily_incremental(_before(t.games, "updated_at", BOX_T0),
+                                          _before(t.team_box, "updated_at", BOX_T0), None)
+    return merge.materialize(spark, first, "daily")
+
+
+@query("daily_incremental")
+def q_daily_incremental(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return incremental.daily_incremental(t.games, t.team_box, _daily_first(spark, t))
+
+
+@query("daily_affected_keys")
+def q_daily_affected_keys(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return incremental.daily_affected_keys(t.games, t.team_box, _daily_first(spark, t), BOX_T0)
+
+
+def _gbs_first(spark, t):
+    first = incremental.gbs_incremental(_before(t.games, "updated_at", BOX_T0),
+                                        _before(t.team_box, "updated_at", BOX_T0),
+                                        _before(t.date_status, "last_checked", BOX_T0), None)
+    return merge.materialize(spark, first, "gbs")
+
+
+@query("gbs_incremental")
+def q_gbs_incremental(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return incremental.gbs_incremental(t.games, t.team_box, t.date_status, _gbs_first(spark, t))
+
+
+@query("gbs_affected_keys")
+def q_gbs_affected_keys(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return incremental.gbs_affected_keys(t.games, t.team_box, t.date_status, _gbs_first(spark, t), BOX_T0)
+
+
+@query("top20_incremental")
+def q_top20_incremental(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    early = LB.Inputs(player_box=t.player_box, games=t.games,
+                      date_status=t.date_status.filter(F.col("date") < F.lit(TOP20_FIRST_RUN_BEFORE).cast("date")))
+    first = merge.materialize(spark, LB.top20_by_metric(early, PARAMS), "top20", ["cutoff_date"])
+    return LB.top20_incremental(inputs(t), first, PARAMS)
+
+
+# -- data checks (D1-D7) -----------------------------------------------------------------------
+
+@query("dq_available_seasons")
+def q_dq_available_seasons(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return checks.run_checks(seasons.available_seasons(t.games, t.player_box), checks.AVAILABLE_SEASONS_RULES)
+
+
+@query("dq_top20")
+def q_dq_top20(spark, sf_dir):
+    return checks.run_checks(LB.top20_by_metric(inputs(tables(spark, sf_dir)), PARAMS), checks.TOP20_RULES)
+
+
+@query("dq_date_status")
+def q_dq_date_status(spark, sf_dir):
+    return checks.run_checks(tables(spark, sf_dir).date_status, checks.DATE_STATUS_RULES)
+
+
+# -- ingest of landed responses (S13-S16, K1-K4) -------------------------------------------------
+
+def _responses(t):
+    return landing.game_landing(t).unionByName(landing.box_landing(t))
+
+
+@query("split_result_sets")
+def q_split_result_sets(spark, sf_dir):
+    s = landing.split_result_sets(_responses(tables(spark, sf_dir)))
+    return s.select("table_name", "endpoint", "request_key", "result_set",
+                    F.array_join("key_columns", ",").alias("key_columns"))
+
+
+@query("box_payload_quarantine")
+def q_box_payload_quarantine(spark, sf_dir):
+    return landing.quarantine(landing.box_landing(tables(spark, sf_dir)))
+
+
+@query("upsert_games")
+def q_upsert_games(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    split = landing.split_result_sets(landing.game_landing(t))
+    batch = landing.records_as_table(split, landing.GAME_RESULT_SET, "games").drop("id")
+    keys = ["season_id", "team_id", "game_id"]
+    batch = merge.latest_per_key(batch, keys, F.struct("updated_at", "wl"))
+    target = t.games.filter(F.col("game_date") < UPSERT_TARGET_BEFORE)
+    return merge.upsert(target, batch, keys)
+
+
+@query("append_api_calls")
+def q_append_api_calls(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    old = _before(t.api_calls, "call_time", API_T0)
+    new = t.api_calls.filter(F.col("call_time") >= F.lit(API_T0).cast("timestamp_ntz"))
+    return merge.append(old, new)
