@@ -54,12 +54,13 @@ def update_only(target: DataFrame, updates: DataFrame, keys: list[str], columns:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], id_col: str | None = "id",
-           stamp: Column | None = None) -> DataFrame:
+           stamp: Column | None = None, id_floor: Column | None = None) -> DataFrame:
     """Update rows whose key exists (columns present in the batch overwrite; others such as the
     surrogate id are kept), insert the rest with fresh ids after the current maximum.
 
     ``batch`` must hold one row per key (see ``latest_per_key``). ``stamp`` is written to
-    ``updated_at`` of every batch row (one value per batch).
+    ``updated_at`` of every batch row (one value per batch). ``id_floor`` is the largest id in
+    use when ``target`` is only part of the table (default: the maximum id of ``target``).
     """
     if stamp is not None:
         batch = batch.withColumn("updated_at", stamp)
@@ -72,7 +73,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], id_col: str | N
     fresh = b.join(target.select(*keys), keys, "left_anti")
     if id_col is not None and id_col in keep_cols:
         # New serial ids continue after the current maximum (a scalar subquery, no join).
-        top = target.select(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+        top = id_floor if id_floor is not None else target.select(F.coalesce(F.max(id_col), F.lit(0))).scalar()
         numbered = global_row_number(fresh, keys, "_seq")
         fresh = numbered.withColumn(id_col, (top + F.col("_seq")).cast(target.schema[id_col].dataType))
     out_cols = target.columns

@@ -432,3 +432,27 @@ def q_append_api_calls(spark, sf_dir):
     old = _before(t.api_calls, "call_time", API_T0)
     new = t.api_calls.filter(F.col("call_time") >= F.lit(API_T0).cast("timestamp_ntz"))
     return merge.append(old, new)
+
+
+# -- streaming (I1, I6): run the stream to the end, return the target table ---------------------
+from .session import scratch_path  # noqa: E402
+from .streaming import streams  # noqa: E402
+
+
+@query("apilogs_stream")
+def q_apilogs_stream(spark, sf_dir):
+    target, ckpt = scratch_path(spark, "apilogs-stream"), scratch_path(spark, "apilogs-stream-ckpt")
+    q = streams.api_log_stream(spark, sf_dir, target, ckpt, file_glob="events.parquet")
+    streams.run_to_end(q)
+    return spark.read.schema(streams.API_LOG_SCHEMA).parquet(target).select(
+        "id", "endpoint", "call_time", "call_date", "success", "error_message", "updated_at")
+
+
+@query("games_upsert_stream")
+def q_games_upsert_stream(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    land = scratch_path(spark, "game-landing")
+    landing.game_landing(t).write.mode("overwrite").parquet(land)
+    target, ckpt = scratch_path(spark, "games-stream"), scratch_path(spark, "games-stream-ckpt")
+    streams.run_to_end(streams.games_upsert_stream(spark, land, target, ckpt))
+    return spark.read.schema(streams.GAMES_TARGET_SCHEMA).parquet(target).drop("bucket")
