@@ -10,22 +10,52 @@ from pyspark.sql import functions as F
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+class Dimension:
+    """A small table computed once: written to the shared checkpoint folder, with its row count.
+
+    Every later join reads the written copy, so the (possibly expensive) plan that produced
+    it runs once, and its size check costs a scan of a few small files.
+    """
+
+    def __init__(self, df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+        self.df = df.checkpoint(eager=True)
+        self.rows = self.df.count()
+        self.small = self.rows <= max_rows
+
+    @property
+    def columns(self) -> list[str]:
+        return self.df.columns
+
+    def select(self, *cols) -> "Dimension":
+        out = object.__new__(Dimension)
+        out.df, out.rows, out.small = self.df.select(*cols), self.rows, self.small
+        return out
+
+
+def dimension(df: DataFrame | Dimension, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Dimension:
+    return df if isinstance(df, Dimension) else Dimension(df, max_rows)
+
+
 def bounded_rows(df: DataFrame, max_rows: int) -> bool:
     """True when ``df`` has at most ``max_rows`` rows. Reads at most ``max_rows + 1`` rows."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def join_dimension(fact: DataFrame, dim: DataFrame, on, how: str = "inner",
+def join_dimension(fact: DataFrame, dim: DataFrame | Dimension, on, how: str = "inner",
                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool | None = None) -> DataFrame:
     """Join ``fact`` to a small ``dim``.
 
-    The dimension is broadcast only when its row count is checked to be under
+    The dimension is broadcast only when its row count is checked to be at most
     ``max_rows``; beyond that the join is left to the planner (shuffle join, AQE skew
     handling). Broadcasting keeps a hot key of ``fact`` from landing in one task.
-    ``checked`` lets a caller pass a bound proven elsewhere and skip the count.
+    ``checked`` lets a caller pass a bound proven elsewhere (e.g. one row per partition).
     """
-    small = bounded_rows(dim, max_rows) if checked is None else checked
-    return fact.join(F.broadcast(dim) if small else dim, on=on, how=how)
+    if checked is not None:
+        side, small = (dim.df if isinstance(dim, Dimension) else dim), checked
+    else:
+        d = dimension(dim, max_rows)
+        side, small = d.df, d.small
+    return fact.join(F.broadcast(side) if small else side, on=on, how=how)
 
 
 def and_all(conds: list[Column]) -> Column:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.dedupe import canonical_games, canonical_player_box
-from ..operators.joins import join_dimension
+from ..operators.joins import Dimension, dimension, join_dimension
 from ..operators.ranking import top_k_per_group
 
 # ---------------------------------------------------------------------------------------------
@@ -103,24 +103,26 @@ def season_latest_dates(games_canon: DataFrame) -> DataFrame:
             .select("season_id", F.to_date("latest_text", "yyyy-MM-dd").alias("latest_season_game_date")))
 
 
-def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame) -> DataFrame:
+def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame | Dimension) -> DataFrame:
     g = games_canon.select("game_id", "season_id", F.to_date("game_date", "yyyy-MM-dd").alias("game_date"))
     j = facts.join(g, "game_id")
     # Seasons are phase digit x year: a small dimension, broadcast after a size check.
     return join_dimension(j, latest, "season_id")
 
 
-def season_cutoffs(cutoffs: DataFrame, latest: DataFrame, p: Params) -> DataFrame:
+def season_cutoffs(cutoffs: DataFrame, latest: DataFrame | Dimension, p: Params) -> Dimension:
     """(season, cutoff) pairs kept by the final filter: ``latest - max(365, N) <= cutoff <= latest + N``.
 
     Built without a cross join: each season expands to the at most ``max(365, N) + N + 1``
     calendar days of its window, then meets the cutoff dates on an equi-join.
     """
-    days = latest.select(
+    latest = dimension(latest)
+    days = latest.df.select(
         "season_id", "latest_season_game_date",
         F.explode(F.sequence(F.date_sub("latest_season_game_date", p.lookback_days),
                              F.date_add("latest_season_game_date", p.recency_days))).alias("cutoff_date"))
-    return join_dimension(days, cutoffs, "cutoff_date")
+    # At most (days of the window) x (seasons) rows: materialized once, reused by every join.
+    return dimension(join_dimension(days, cutoffs, "cutoff_date"))
 
 
 # -- aggregate forms --------------------------------------------------------------------------
@@ -243,10 +245,11 @@ class Inputs:
     date_status: DataFrame
 
 
-def build_meta(inp: Inputs) -> tuple[DataFrame, DataFrame]:
+def build_meta(inp: Inputs) -> tuple[DataFrame, Dimension]:
     facts = player_game_facts(inp.player_box)
     games_canon = canonical_games(inp.games)
-    latest = season_latest_dates(games_canon)
+    # One row per season, computed once and shared by the metadata join and the cutoff pairs.
+    latest = dimension(season_latest_dates(games_canon))
     return player_games_with_meta(facts, games_canon, latest), latest
 
 

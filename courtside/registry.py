@@ -188,7 +188,7 @@ def q_season_cutoffs(spark, sf_dir):
     t = tables(spark, sf_dir)
     _, latest = LB.build_meta(inputs(t))
     cut = LB.processed_cutoffs(staging.stg_date_processing_status(t.date_status), START_DATE)
-    return LB.season_cutoffs(cut, latest, PARAMS)
+    return LB.season_cutoffs(cut, latest, PARAMS).df
 
 
 @query("scoped_player_games")
