@@ -238,7 +238,15 @@ def q_top20_direct(spark, sf_dir):
 
 @query("distinct_game_ids")
 def q_distinct_game_ids(spark, sf_dir):
-    return tables(spark, sf_dir).games.select("game_id").filter(F.col("game_id").isNotNull()).distinct()
+    from .sources.tables import distinct_game_ids
+    return distinct_game_ids(spark, tables(spark, sf_dir).games)
+
+
+@query("high_water_mark")
+def q_high_water_mark(spark, sf_dir):
+    """``max(updated_at)`` of the staged API log, as the incremental runs read it."""
+    logs = staging.stg_api_call_logs(tables(spark, sf_dir).api_calls)
+    return logs.agg(F.max("updated_at").alias("high_water_mark"), F.count(F.lit(1)).alias("rows_behind_mark"))
 
 
 @query("distinct_game_versions")

@@ -208,3 +208,32 @@ class DriverTables:
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jp = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp)
+
+
+def distinct_game_ids(spark: SparkSession, table: DataFrame | str | None) -> DataFrame:
+    """Distinct game ids of a table given as a DataFrame, a catalog table name or a parquet
+    path; an empty set (not an error) when the table does not exist."""
+    empty = spark.createDataFrame([], "game_id string")
+    if table is None:
+        return empty
+    if isinstance(table, str):
+        if "/" in table:
+            if not path_exists(spark, table):
+                return empty
+            table = spark.read.parquet(table)
+        elif spark.catalog.tableExists(table):
+            table = spark.table(table)
+        else:
+            return empty
+    return table.select(F.col("game_id").cast("string")).filter(F.col("game_id").isNotNull()).distinct()
+
+
+def register_views(tables: dict[str, DataFrame]) -> None:
+    """K8: expose models as temporary views (``materialized='view'``)."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)

@@ -197,3 +197,18 @@ def test_global_row_number_and_batches(spark):
     assert [n for _, n in got] == list(range(1, 96))
     b = fixed_batches(df, ["g"], 10).groupBy("batch_id").count().orderBy("batch_id").collect()
     assert [r["count"] for r in b] == [10] * 9 + [5]
+
+
+def test_m9_starter_models(spark):
+    from courtside.plans import examples
+    first = examples.rows_not_null(examples.inline_rows(spark))
+    assert [r["id"] for r in first.collect()] == [1]
+    assert [r["id"] for r in examples.id_one(first).collect()] == [1]
+
+
+def test_s9_missing_table_gives_empty_set(spark, tmp_path):
+    from courtside.sources.tables import distinct_game_ids
+    assert distinct_game_ids(spark, str(tmp_path / "absent")).count() == 0
+    assert distinct_game_ids(spark, "no_such_table").count() == 0
+    g = make(spark, "games", [game("g1"), game("g1", team=2), game("g2")])
+    assert sorted(r[0] for r in distinct_game_ids(spark, g).collect()) == ["g1", "g2"]
