@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +19,11 @@ class Dimension:
     """
 
     def __init__(self, df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-        self.df = df.checkpoint(eager=True)
+        # Persist first: an eager reliable checkpoint otherwise computes the plan twice
+        # (once for its count, once for the write).
+        held = df.persist(StorageLevel.MEMORY_AND_DISK)
+        self.df = held.checkpoint(eager=True)
+        held.unpersist()
         self.rows = self.df.count()
         self.small = self.rows <= max_rows
 

@@ -245,11 +245,16 @@ class Inputs:
     date_status: DataFrame
 
 
-def build_meta(inp: Inputs) -> tuple[DataFrame, Dimension]:
+def build_meta(inp: Inputs, seasons_in_play: Dimension | None = None,
+               latest: Dimension | None = None) -> tuple[DataFrame, Dimension]:
+    """Facts joined to canonical game metadata. With ``seasons_in_play`` only games of those
+    seasons meet the player facts (the season choice itself still sees every game row)."""
     facts = player_game_facts(inp.player_box)
     games_canon = canonical_games(inp.games)
     # One row per season, computed once and shared by the metadata join and the cutoff pairs.
-    latest = dimension(season_latest_dates(games_canon))
+    latest = latest or dimension(season_latest_dates(games_canon))
+    if seasons_in_play is not None:
+        games_canon = join_dimension(games_canon, seasons_in_play, "season_id", "left_semi")
     return player_games_with_meta(facts, games_canon, latest), latest
 
 
@@ -259,12 +264,19 @@ def stg_status(date_status: DataFrame) -> DataFrame:
 
 
 def player_aggregates(inp: Inputs, p: Params, form: str = "running",
-                      existing: DataFrame | None = None) -> DataFrame:
-    pgm, latest = build_meta(inp)
+                      existing: DataFrame | None = None, prune_seasons: bool = True) -> DataFrame:
     cutoffs = processed_cutoffs(stg_status(inp.date_status), p.start_date, existing)
     if form == "direct":
+        pgm, _ = build_meta(inp)
         return aggregates_direct(pgm, cutoffs, p)
+    latest = dimension(season_latest_dates(canonical_games(inp.games)))
     pairs = season_cutoffs(cutoffs, latest, p)
+    # Only seasons whose snapshot window holds a cutoff can reach the output: the running form
+    # prunes the game history to them before the fact join, so a daily run aggregates recent
+    # seasons only (the windowed form's pair join already drops the rest).
+    in_play = (dimension(pairs.df.select("season_id").distinct())
+               if prune_seasons and form == "running" else None)
+    pgm, _ = build_meta(inp, in_play, latest)
     if form == "windowed":
         return aggregates_windowed(pgm, pairs)
     if form == "running":

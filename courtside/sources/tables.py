@@ -48,8 +48,16 @@ class DriverTables:
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 
-    def _read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+    def _read(self, name: str, spread_by: str | None = None) -> DataFrame:
+        """Scan one driver table. The driver writes each table as one file with one row group,
+        which Spark reads in one task; when a source has fewer input splits than cores it is
+        spread across them (hash on ``spread_by`` when given, so a later exchange on that key
+        is reused). Inputs with enough splits - any real multi-file table - are left alone."""
+        df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        cores = self.spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores, spread_by) if spread_by else df.repartition(cores)
+        return df
 
     # -- games -------------------------------------------------------------------------------
     @cached_property
@@ -84,7 +92,7 @@ class DriverTables:
     # -- player box --------------------------------------------------------------------------
     @cached_property
     def player_box(self) -> DataFrame:
-        li = self._read("lineitem").select(
+        li = self._read("lineitem", "l_orderkey").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
             "l_discount", "l_tax", "l_shipdate")
         # Surrogate id: order key * 1000 + position of the line inside its order (at most 7 lines).
@@ -129,7 +137,7 @@ class DriverTables:
 
     # -- team and starter/bench box ----------------------------------------------------------
     def _team_rollup(self, extra_keys: list[Column], where: Column | None) -> DataFrame:
-        li = self._read("lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
+        li = self._read("lineitem", "l_orderkey").select("l_orderkey", "l_linenumber", "l_quantity", "l_shipdate")
         if where is not None:
             li = li.filter(where)
         keys = [F.col("l_orderkey"), _mod("l_linenumber", 2).alias("side"), *extra_keys]
