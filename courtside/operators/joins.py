@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+
 # Largest row count we agree to ship to every executor. Dimensions here are bounded by
 # the calendar (dates), by season codes (phase digit x year) or by both together.
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
@@ -21,6 +23,7 @@ class Dimension:
     def __init__(self, df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
         # Persist first: an eager reliable checkpoint otherwise computes the plan twice
         # (once for its count, once for the write).
+        ensure_checkpoint_dir(df.sparkSession)
         held = df.persist(StorageLevel.MEMORY_AND_DISK)
         self.df = held.checkpoint(eager=True)
         held.unpersist()
@@ -41,11 +44,6 @@ def dimension(df: DataFrame | Dimension, max_rows: int = DEFAULT_MAX_BROADCAST_R
     return df if isinstance(df, Dimension) else Dimension(df, max_rows)
 
 
-def bounded_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Reads at most ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def join_dimension(fact: DataFrame, dim: DataFrame | Dimension, on, how: str = "inner",
                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS, checked: bool | None = None) -> DataFrame:
     """Join ``fact`` to a small ``dim``.
@@ -61,10 +59,3 @@ def join_dimension(fact: DataFrame, dim: DataFrame | Dimension, on, how: str = "
         d = dimension(dim, max_rows)
         side, small = d.df, d.small
     return fact.join(F.broadcast(side) if small else side, on=on, how=how)
-
-
-def and_all(conds: list[Column]) -> Column:
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out

@@ -408,7 +408,8 @@ def q_dq_date_status(spark, sf_dir):
 # -- ingest of landed responses (S13-S16, K1-K4) -------------------------------------------------
 
 def _responses(t):
-    return landing.game_landing(t).unionByName(landing.box_landing(t))
+    return (landing.game_landing(t).unionByName(landing.box_landing(t))
+            .unionByName(landing.summary_landing(t)))
 
 
 @query("split_result_sets")

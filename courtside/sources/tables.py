@@ -214,10 +214,6 @@ class DriverTables:
         )
 
 
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     jp = spark._jvm.org.apache.hadoop.fs.Path(path)
     return jp.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jp)

@@ -23,6 +23,7 @@ from pyspark.sql import types as T
 
 from ..operators import merge
 from ..plans import staging
+from ..session import ensure_checkpoint_dir
 from ..sources import landing, schemas
 
 GAME_BUCKETS = 64
@@ -45,6 +46,7 @@ def merge_partitions(spark: SparkSession, target_path: str, schema: T.StructType
     old = (spark.read.schema(schema).parquet(target_path)
            .join(F.broadcast(touched), part_col, "left_semi"))  # one row per touched partition
     merged = combine(old.select(*schema.fieldNames()), batch.select(*schema.fieldNames()))
+    ensure_checkpoint_dir(spark)
     merged = merged.checkpoint(eager=True)
     (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(part_col).parquet(target_path))
