@@ -13,6 +13,18 @@ from ..session import ensure_checkpoint_dir
 DEFAULT_MAX_BROADCAST_ROWS = 2_000_000
 
 
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once into the shared checkpoint folder; later plans read that copy.
+
+    Persisted first, because an eager reliable checkpoint otherwise computes the plan twice.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = held.checkpoint(eager=True)
+    held.unpersist()
+    return out
+
+
 class Dimension:
     """A small table computed once: written to the shared checkpoint folder, with its row count.
 
@@ -21,12 +33,7 @@ class Dimension:
     """
 
     def __init__(self, df: DataFrame, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
-        # Persist first: an eager reliable checkpoint otherwise computes the plan twice
-        # (once for its count, once for the write).
-        ensure_checkpoint_dir(df.sparkSession)
-        held = df.persist(StorageLevel.MEMORY_AND_DISK)
-        self.df = held.checkpoint(eager=True)
-        held.unpersist()
+        self.df = cut_lineage(df)
         self.rows = self.df.count()
         self.small = self.rows <= max_rows
 
@@ -35,10 +42,17 @@ class Dimension:
         return self.df.columns
 
     def select(self, *cols) -> "Dimension":
+        """A projection keeps the row bound (no job)."""
         out = object.__new__(Dimension)
         out.df, out.rows, out.small = self.df.select(*cols), self.rows, self.small
         return out
 
+    def distinct_bounded(self) -> "Dimension":
+        """Distinct rows: at most as many as before (no job)."""
+        out = object.__new__(Dimension)
+        out.df, out.rows, out.small = self.df.distinct(), self.rows, self.small
+        return out
+
 
 def dimension(df: DataFrame | Dimension, max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> Dimension:
     return df if isinstance(df, Dimension) else Dimension(df, max_rows)

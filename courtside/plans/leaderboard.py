@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.dedupe import canonical_games, canonical_player_box
-from ..operators.joins import Dimension, dimension, join_dimension
+from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, Dimension, cut_lineage, dimension, join_dimension
 from ..operators.ranking import top_k_per_group
 
 # ---------------------------------------------------------------------------------------------
@@ -121,8 +121,11 @@ def season_cutoffs(cutoffs: DataFrame, latest: DataFrame | Dimension, p: Params)
         "season_id", "latest_season_game_date",
         F.explode(F.sequence(F.date_sub("latest_season_game_date", p.lookback_days),
                              F.date_add("latest_season_game_date", p.recency_days))).alias("cutoff_date"))
-    # At most (days of the window) x (seasons) rows: materialized once, reused by every join.
-    return dimension(join_dimension(days, cutoffs, "cutoff_date"))
+    # The expansion has at most (counted seasons) x (window days) rows: a bound known without a
+    # job, so the cutoff scan streams past the broadcast days. The pairs are materialized once.
+    bound = latest.rows * (p.lookback_days + p.recency_days + 1)
+    pairs = join_dimension(cutoffs, days, "cutoff_date", checked=bound <= DEFAULT_MAX_BROADCAST_ROWS)
+    return dimension(pairs.select("season_id", "latest_season_game_date", "cutoff_date"))
 
 
 # -- aggregate forms --------------------------------------------------------------------------
@@ -246,11 +249,12 @@ class Inputs:
 
 
 def build_meta(inp: Inputs, seasons_in_play: Dimension | None = None,
-               latest: Dimension | None = None) -> tuple[DataFrame, Dimension]:
+               latest: Dimension | None = None,
+               games_canon: DataFrame | None = None) -> tuple[DataFrame, Dimension]:
     """Facts joined to canonical game metadata. With ``seasons_in_play`` only games of those
     seasons meet the player facts (the season choice itself still sees every game row)."""
     facts = player_game_facts(inp.player_box)
-    games_canon = canonical_games(inp.games)
+    games_canon = games_canon if games_canon is not None else canonical_games(inp.games)
     # One row per season, computed once and shared by the metadata join and the cutoff pairs.
     latest = latest or dimension(season_latest_dates(games_canon))
     if seasons_in_play is not None:
@@ -269,14 +273,16 @@ def player_aggregates(inp: Inputs, p: Params, form: str = "running",
     if form == "direct":
         pgm, _ = build_meta(inp)
         return aggregates_direct(pgm, cutoffs, p)
-    latest = dimension(season_latest_dates(canonical_games(inp.games)))
+    # One row per game, deduplicated once; the season dates and the fact join both read it.
+    games_canon = cut_lineage(canonical_games(inp.games))
+    latest = dimension(season_latest_dates(games_canon))
     pairs = season_cutoffs(cutoffs, latest, p)
     # Only seasons whose snapshot window holds a cutoff can reach the output: the running form
     # prunes the game history to them before the fact join, so a daily run aggregates recent
     # seasons only (the windowed form's pair join already drops the rest).
-    in_play = (dimension(pairs.df.select("season_id").distinct())
+    in_play = (pairs.select("season_id").distinct_bounded()
                if prune_seasons and form == "running" else None)
-    pgm, _ = build_meta(inp, in_play, latest)
+    pgm, _ = build_meta(inp, in_play, latest, games_canon)
     if form == "windowed":
         return aggregates_windowed(pgm, pairs)
     if form == "running":

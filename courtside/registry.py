@@ -33,8 +33,15 @@ def query(name: str):
     return deco
 
 
+_TABLES: dict[tuple[int, str], DriverTables] = {}
+
+
 def tables(spark: SparkSession, sf_dir: str) -> DriverTables:
-    return DriverTables(spark, sf_dir)
+    """Raw-shaped views of one folder, defined once per session (plans are lazy; nothing is cached)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    if key not in _TABLES:
+        _TABLES[key] = DriverTables(spark, sf_dir)
+    return _TABLES[key]
 
 
 def inputs(t: DriverTables) -> LB.Inputs:

@@ -21,8 +21,8 @@ from . import schemas
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select ``schema``'s columns in order, casting present ones and null-filling the rest."""
     present = set(df.columns)
-    return df.select([
-        (F.col(f.name).cast(f.dataType) if f.name in present else F.lit(None).cast(f.dataType)).alias(f.name)
+    return df.selectExpr(*[
+        f"CAST({('`' + f.name + '`') if f.name in present else 'NULL'} AS {f.dataType.simpleString()}) AS `{f.name}`"
         for f in schema.fields
     ])
 
