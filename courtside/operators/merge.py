@@ -90,6 +90,14 @@ def append(target: DataFrame, rows: DataFrame) -> DataFrame:
     return target.unionByName(rows.select(*target.columns))
 
 
+def append_partitions(spark: SparkSession, new: DataFrame, path: str, partition_by: list[str],
+                      schema_of: DataFrame) -> DataFrame:
+    """Append ``new`` to the partitioned table at ``path`` (no rewrite of existing files)
+    and return the whole table."""
+    new.select(*schema_of.columns).write.mode("append").partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(schema_of.schema).parquet(path).select(*schema_of.columns)
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write ``df`` as a new table version under the shared checkpoint folder and read it back.
 
@@ -97,6 +105,10 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: lis
     gives the next keyed merge a stable input.
     """
     path = scratch_path(spark, name)
+    return materialize_at(spark, df, path, partition_by)
+
+
+def materialize_at(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
