@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .joins import cut_lineage
 from .ranking import global_row_number
 
 
@@ -64,6 +65,8 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], id_col: str | N
     """
     if stamp is not None:
         batch = batch.withColumn("updated_at", stamp)
+    # The batch feeds four branches (matched, untouched, fresh, numbering): compute it once.
+    batch = cut_lineage(batch)
     bcols = [c for c in batch.columns if c in target.columns]
     keep_cols = [c for c in target.columns if c not in bcols]
     b = batch.select(*bcols)
