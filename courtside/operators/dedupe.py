@@ -1,44 +1,46 @@
 """Keep one version per key.
 
-Implemented as a grouped ``max_by`` over a preference struct rather than a
-``row_number`` window: the aggregate combines map-side, so a key holding a third of
-all rows is collapsed to one row per task before the shuffle instead of being sorted
-in a single task.
+``row_number() = 1`` over the key, ordered by preference. Spark plans the filter on the
+row number as a partial ``WindowGroupLimit`` before the shuffle: each map task sorts its
+rows (code-generated sort) and keeps one row per key, so a key holding a third of all
+rows is collapsed map-side instead of landing whole in one task. (A grouped ``max_by``
+over a row struct gives the same rows but runs as an interpreted sort aggregate.)
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 
 
-def keep_preferred(df: DataFrame, keys: list[str], preference: Column,
+def keep_preferred(df: DataFrame, keys: list[str], order: list[Column],
                    columns: list[str] | None = None) -> DataFrame:
-    """One row per ``keys``: the row with the greatest ``preference`` (a struct, compared field by field).
+    """One row per ``keys``: the first row under ``order`` (sort expressions, most preferred first).
 
-    ``preference`` must be unique inside a key (end it with a unique id) for the pick
-    to be deterministic.
+    ``order`` must be unique inside a key (end it with a unique id) for the pick to be
+    deterministic.
     """
     cols = [c for c in (columns or df.columns) if c not in keys]
-    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*cols), preference).alias("_row"))
-    return picked.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in cols])
+    w = Window.partitionBy(*keys).orderBy(*order)
+    ranked = df.select(*keys, *cols, F.row_number().over(w).alias("_rn"))
+    return ranked.filter(F.col("_rn") <= 1).select(*keys, *cols)
 
 
-def newest_first(updated_at: str = "updated_at", tie: str = "id") -> Column:
-    """Order ``coalesce(updated_at, epoch) DESC, id DESC`` as a max-preference."""
-    return F.struct(F.coalesce(F.col(updated_at), X.epoch()).alias("stamp"), F.col(tie).alias("tie"))
+def newest_first(updated_at: str = "updated_at", tie: str = "id") -> list[Column]:
+    """``coalesce(updated_at, epoch) DESC, id DESC``."""
+    return [F.coalesce(F.col(updated_at), X.epoch()).desc(), F.col(tie).desc()]
 
 
-def official_then_newest(season_id: str = "season_id", updated_at: str = "updated_at") -> Column:
-    """Order ``official first, coalesce(updated_at, epoch) DESC, season_id DESC (nulls first)``."""
-    return F.struct(
-        X.is_official(season_id).alias("official"),
-        F.coalesce(F.col(updated_at), X.epoch()).alias("stamp"),
-        F.col(season_id).isNull().alias("season_null"),
-        F.col(season_id).alias("season"),
-    )
+def official_then_newest(season_id: str = "season_id", updated_at: str = "updated_at") -> list[Column]:
+    """Official phase first, then ``coalesce(updated_at, epoch) DESC``, then ``season_id DESC``
+    with NULLs first (the source database's DESC rule)."""
+    return [
+        X.is_official(season_id).desc(),
+        F.coalesce(F.col(updated_at), X.epoch()).desc(),
+        F.col(season_id).desc_nulls_first(),
+    ]
 
 
 def canonical_player_box(player_box: DataFrame) -> DataFrame:

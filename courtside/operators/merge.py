@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
+from .dedupe import keep_preferred
 from .joins import cut_lineage
 from .ranking import global_row_number
 
@@ -18,9 +19,7 @@ from .ranking import global_row_number
 def latest_per_key(batch: DataFrame, keys: list[str], order: Column) -> DataFrame:
     """Collapse a batch to one row per key; the row with the greatest ``order`` wins
     (last writer wins when ``order`` is the arrival sequence)."""
-    cols = [c for c in batch.columns if c not in keys]
-    return (batch.groupBy(*keys).agg(F.max_by(F.struct(*cols), order).alias("_r"))
-            .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+    return keep_preferred(batch, keys, [order.desc()])
 
 
 def keyed_replace(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
@@ -33,9 +32,7 @@ def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: Co
     """Insert rows whose key is absent; existing keys are left untouched. Within ``rows`` the first
     row per key (smallest ``order``, default any) is the one inserted."""
     if order is not None:
-        cols = [c for c in rows.columns if c not in keys]
-        rows = (rows.groupBy(*keys).agg(F.min_by(F.struct(*cols), order).alias("_r"))
-                .select(*keys, *[F.col(f"_r.{c}").alias(c) for c in cols]))
+        rows = keep_preferred(rows, keys, [order.asc()])
     else:
         rows = rows.dropDuplicates(keys)
     new = rows.join(target.select(*keys), keys, "left_anti")

@@ -14,6 +14,9 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Small shuffles feeding CPU-heavy stages (window sums, many aggregates) should still use
+    # every core locally; at cluster data sizes partitions are far above this floor anyway.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
