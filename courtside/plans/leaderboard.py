@@ -253,12 +253,19 @@ def build_meta(inp: Inputs, seasons_in_play: Dimension | None = None,
                games_canon: DataFrame | None = None) -> tuple[DataFrame, Dimension]:
     """Facts joined to canonical game metadata. With ``seasons_in_play`` only games of those
     seasons meet the player facts (the season choice itself still sees every game row)."""
-    facts = player_game_facts(inp.player_box)
     games_canon = games_canon if games_canon is not None else canonical_games(inp.games)
     # One row per season, computed once and shared by the metadata join and the cutoff pairs.
     latest = latest or dimension(season_latest_dates(games_canon))
+    player_box = inp.player_box
     if seasons_in_play is not None:
         games_canon = join_dimension(games_canon, seasons_in_play, "season_id", "left_semi")
+        # Player lines of other games cannot reach the output, and every version of a
+        # (game, player) shares its game id, so they are dropped before the dedupe - when the
+        # in-play game ids pass the broadcast size check; otherwise the fact join drops them.
+        ids = dimension(games_canon.select("game_id"))
+        if ids.small:
+            player_box = join_dimension(player_box, ids, "game_id", "left_semi")
+    facts = player_game_facts(player_box)
     return player_games_with_meta(facts, games_canon, latest), latest
 
 
