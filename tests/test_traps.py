@@ -212,3 +212,22 @@ def test_s9_missing_table_gives_empty_set(spark, tmp_path):
     assert distinct_game_ids(spark, "no_such_table").count() == 0
     g = make(spark, "games", [game("g1"), game("g1", team=2), game("g2")])
     assert sorted(r[0] for r in distinct_game_ids(spark, g).collect()) == ["g1", "g2"]
+
+
+def test_t7_box_after_game_faithful_drifts_affected_keys_does_not(spark):
+    from courtside.plans import incremental
+    t0 = "2024-11-10 00:00:00"
+    g_all = [game("g1", stamp="2024-11-02 00:00:00", id_=1), game("g2", date=D2, stamp="2024-11-05 00:00:00", id_=2)]
+    box_late = {"id": 1, "game_id": "g1", "team_id": 1, "updated_at": ts("2024-11-12 00:00:00")}
+    games = make(spark, "games", g_all)
+    st = make(spark, "date_status", [{"date": dt.date.fromisoformat(d), "status": "processed",
+                                      "last_checked": ts("2024-10-01 00:00:00"), "retry_count": 0} for d in (D1, D2)])
+    box_before, box_now = make(spark, "team_box", []), make(spark, "team_box", [box_late])
+    first = incremental.gbs_incremental(games, box_before, st, None)
+    faithful = {r["game_id"]: r["has_boxscore"] for r in incremental.gbs_incremental(games, box_now, st, first).collect()}
+    affected = {r["game_id"]: r["has_boxscore"] for r in
+                incremental.gbs_affected_keys(games, box_now, st, first, t0).collect()}
+    full = {r["game_id"]: r["has_boxscore"] for r in staging.stg_game_boxscore_status(games, box_now, st).collect()}
+    assert full == {"g1": True, "g2": False}
+    assert faithful["g1"] is False  # g1's stamp is below the mark, so its late box never joins
+    assert affected == full
