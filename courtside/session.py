@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -45,7 +46,9 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only when nothing is configured (local tests) a fresh scratch folder is made and set.
+    Only when nothing is configured and the master is local (tests, bench) a fresh scratch
+    folder is made and set. On a cluster that is an error: executors would each write to
+    their own disk, and later reads would miss those files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -55,6 +58,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir is not set: master {sc.master} needs a folder that all executors share")
     local = tempfile.mkdtemp(prefix="courtside-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir() or local
