@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pii, shards
+from . import mixing, pieces, pii, shards
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,12 +32,21 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op5_pieces")
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = pieces.load()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = pieces.decode(pieces.encode(docs, vocabulary), vocabulary)
+    return coded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
+                        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
+
+
 @query("op9_pii_anchors")
 def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
     base = F.filter("spans", lambda x: x["kind"].isin(*pii.BASE_KINDS))
-    counts = [F.size(F.filter("spans", lambda x, k=k: x["kind"] == k)).cast("bigint").alias(f"n_{k}")
-              for k in pii.BASE_KINDS]
+    kinds = F.transform("spans", lambda x: x["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("bigint").alias(f"n_{k}") for k in pii.BASE_KINDS]
     return found.select("doc_id", *counts, F.sha2(pii.spans_text(base).cast("binary"), 256).alias("base_sha256"),
                         pii.spans_text(F.col("spans")).alias("spans"))
 
