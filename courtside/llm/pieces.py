@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -63,6 +64,8 @@ class Vocabulary:
         self.is_byte[self.byte_ids] = True
         self.byte_of = np.zeros(len(self.pieces), np.uint8)
         self.byte_of[self.byte_ids] = np.arange(256)
+        self.is_high = self.is_byte & (self.byte_of > 127)  # the others are a character each
+        self.texts = [chr(self.byte_of[i]) if self.is_byte[i] else p for i, p in enumerate(self.pieces)]
         self.forget()
 
     def __reduce__(self):
@@ -90,8 +93,8 @@ class Vocabulary:
         found[rows[hit], cols[hit]] = self.ids[size][at[hit]]
         return found
 
-    def _slab(self, words: list[str]) -> list[np.ndarray]:
-        """Ids of words of one length, which advance together."""
+    def _slab(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of one length, which advance together: all in a row, and how many each has."""
         n, length = len(words), len(words[0])
         points = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).reshape(n, length)
         hashes = self._hashes(points)
@@ -122,41 +125,46 @@ class Vocabulary:
             back.append(ids)
             at = start
         path = np.stack(back[::-1], 1)
-        out = []
-        for k, row in enumerate(path):
-            row = row[row != -2]
-            if (row < -2).any():
-                row = np.concatenate([[i] if i >= 0 else np.take(self.byte_ids, list(
-                    chr(-3 - i).encode("utf-8", "surrogatepass"))) for i in row]).astype(np.int32)
-            out.append(row)
-        return out
+        used = path != -2
+        ids, size = path[used], used.sum(1)
+        if (unknown := ids < -2).any():
+            letters = [list(chr(-3 - i).encode("utf-8", "surrogatepass")) for i in ids[unknown].tolist()]
+            width = np.ones(len(ids), np.int64)
+            width[unknown] = [len(x) for x in letters]
+            size = np.add.reduceat(width, np.cumsum(size) - size)
+            ids, unknown = np.repeat(ids, width), np.repeat(unknown, width)
+            ids[unknown] = np.array(self.byte_ids, np.int32)[[b for x in letters for b in x]]
+        return ids, size
 
     def learn(self, words: list[str]) -> None:
         """Segment words that the memo lacks."""
         by_length: dict[int, list[str]] = {}
         for w in words:
             by_length.setdefault(len(w), []).append(w)
-        found, names = [], []
+        flat, sizes, names = [], [], []
         for length, group in by_length.items():
             slab = max(1, _SLAB // length)
             for k in range(0, len(group), slab):
                 names += group[k:k + slab]
-                found += self._slab(group[k:k + slab])
-        sizes = np.array([len(x) for x in found], np.int64)
-        first = len(self.flat)
-        self.start = np.concatenate([self.start, first + np.cumsum(sizes) - sizes])
+                ids, size = self._slab(group[k:k + slab])
+                flat.append(ids)
+                sizes.append(size)
+        size = np.concatenate(sizes)
         n = len(self.size)
-        self.size = np.concatenate([self.size, sizes])
-        self.flat = np.concatenate([self.flat, *found])
+        self.start = np.concatenate([self.start, len(self.flat) + np.cumsum(size) - size])
+        self.size = np.concatenate([self.size, size])
+        self.flat = np.concatenate([self.flat, *flat])
         self.memo.update(zip(names, range(n, n + len(names)), strict=True))
 
     def encode(self, texts: Sequence[str | None]) -> pa.ListArray:
         cut = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
-        missing = {w for words in cut for w in words} - self.memo.keys()
-        if missing:
-            self.learn(sorted(missing))
-        get = self.memo.__getitem__
-        word = np.array([k for words in cut for k in map(get, words)], np.int64)
+        n = sum(map(len, cut))
+        word = np.fromiter(map(self.memo.get, chain.from_iterable(cut), repeat(-1)), np.int64, n)
+        if len(new := np.flatnonzero(word < 0)):
+            words = list(chain.from_iterable(cut))
+            missing = [words[k] for k in new.tolist()]
+            self.learn(list(dict.fromkeys(missing)))
+            word[new] = np.fromiter(map(self.memo.__getitem__, missing), np.int64, len(new))
         size = self.size[word]
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
@@ -170,11 +178,11 @@ class Vocabulary:
     def decode(self, ids: np.ndarray) -> str:
         if not len(ids):
             return ""
-        if self.is_byte[ids].any():
+        if self.is_high[ids].any():
             parts = [bytes([self.byte_of[i]]) if self.is_byte[i] else self.pieces[i].encode() for i in ids]
             text = b"".join(parts).decode("utf-8", "replace")
         else:
-            text = "".join([self.pieces[i] for i in ids.tolist()])
+            text = "".join(map(self.texts.__getitem__, ids.tolist()))
         return text.replace(MARK, " ")[1:]
 
 
