@@ -216,11 +216,16 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     """``docs`` with the piece ids of every whole text."""
     small_batches(docs.sparkSession)
 
-    @F.arrow_udf(T.ArrayType(T.IntegerType()))
-    def ids(texts: pa.Array) -> pa.Array:
-        return vocabulary.encode(texts.to_pylist())
+    # A step of its own, so that what uses the ids does not encode the texts again.
+    names = [c for c in docs.columns if c != out_col]
+    schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
 
-    return docs.withColumn(out_col, ids(F.col(text_col)))
+    def run(batches):
+        for batch in batches:
+            ids = vocabulary.encode(batch.column(text_col).to_pylist())
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out_col])
+
+    return docs.mapInArrow(run, schema)
 
 
 def decode(docs: DataFrame, vocabulary: Vocabulary, ids_col: str = "ids", out_col: str = "decoded") -> DataFrame:

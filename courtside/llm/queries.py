@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, pieces, pii, shards, warc
+from . import mixing, ngram_join, pieces, pii, shards, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -32,6 +32,11 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+@query("op2_ngram_join")
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 @query("op3_warc")
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
