@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, pieces, pii, shards, warc
+from . import mixing, ngram_join, pieces, pii, shards, vectors, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -63,6 +63,11 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
                         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("round_trip"))
 
 
+@query("op6_posting_lists")
+def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
+
+
 @query("op9_pii_anchors")
 def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")

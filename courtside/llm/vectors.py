@@ -33,8 +33,9 @@ FIT_ROWS = 1 << 17
 MAX_LISTS = 1 << 13
 LIST_ROWS = 256
 BLOCK = 2048
-SPREAD = 1.12  # distance ratio within which a vector is replicated
+SPREAD = 1.15  # distance ratio within which a vector is replicated
 REACH = 1.3    # distance ratio within which a query reads a list
+LEAST_READ, READ_SHARE = 48, 3  # of those lists, a query reads the nearest 48, or a third of all if that is more
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -73,7 +74,7 @@ class Centroids:
         size = np.sqrt((means * means).sum(1, keepdims=True))
         points = (means / np.maximum(size, 1e-12)).astype(np.float32)
         near = np.stack([np.argsort(-(points @ p), kind="stable")[:degree + 1] for p in points]).astype(np.int32)
-        # Links both ways, so that no centroid is out of reach of its neighbours.
+        # Walks begin at the best of an even choice over the tree of halves.
         entries = np.unique(np.linspace(0, len(points) - 1, max(8, int(len(points) ** 0.5))).astype(np.int32))
         return cls(points, near, entries)
 
@@ -118,3 +119,104 @@ class Centroids:
                     between = np.sqrt(np.maximum(0, 2 - 2 * (self.points[ids[:, i]] * self.points[ids[:, j]]).sum(1)))
                     keep[:, j] &= ~(keep[:, i] & (between < dist[:, j]))
         return np.nonzero(keep)[0], ids[keep]
+
+
+def usable(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
+    """``vec_id, vector`` (doubles) of the rows that take part, each pair once."""
+    v = F.col("vector")
+    rows = rows.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector"))
+    rows = rows.filter(F.col("vec_id").isNotNull() & F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+                       & F.exists(v, lambda x: x != 0.0))
+    usual = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), "size").first()
+    return rows.filter(F.size("vector") == (usual["size"] if usual else 0)).dropDuplicates(["vec_id", "vector"])
+
+
+def _matrix(column) -> np.ndarray:
+    flat = np.asarray(column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten(), np.float64)
+    return flat.reshape(len(column), -1)
+
+
+def fit(rows: DataFrame) -> Centroids:
+    """Centroids from a bounded sample, collected: at most FIT_ROWS vectors."""
+    n = rows.count()
+    lists = min(MAX_LISTS, max(1, n // LIST_ROWS))
+    chosen = rows.orderBy(uniform("fit", F.col("vec_id")), "vec_id").limit(min(FIT_ROWS, 64 * lists + 1024))
+    sample = chosen.select("vector").toArrow().column("vector")
+    return Centroids.fit(_matrix(sample), lists)
+
+
+def into_lists(rows: DataFrame, centroids: Centroids, most: int, ratio: float, spread: bool) -> DataFrame:
+    """``list, vec_id, packed``: a row for each list that a vector belongs to or reads."""
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2048")
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x = _matrix(batch.column(1))
+                row, which = centroids.lists_of(unit(x), most, ratio, spread)
+                packed = [v.tobytes() for v in x]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(which, pa.int32()), batch.column(0).take(pa.array(row)),
+                    pa.array([packed[k] for k in row.tolist()], pa.binary())], names=["list", "vec_id", "packed"])
+
+    return rows.select("vec_id", "vector").mapInArrow(run, "list int, vec_id bigint, packed binary")
+
+
+def _rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    packed = table.column("packed").to_pylist()
+    return table.column("vec_id").to_numpy(), np.frombuffer(b"".join(packed), np.float64).reshape(len(packed), -1)
+
+
+def best_of_block(queries: pa.Table, posting: pa.Table, k: int) -> pa.Table:
+    """The k nearest rows of a block for each of its queries, scored in double precision."""
+    out: list[list[np.ndarray]] = [[], [], []]
+    if queries.num_rows and posting.num_rows:
+        q_ids, q = _rows(queries)
+        p_ids, p = _rows(posting)
+        q_len, p_len = np.sqrt((q * q).sum(1)), np.sqrt((p * p).sum(1))
+        for at in range(0, len(q), 512):
+            part = slice(at, at + 512)
+            rough = (q[part] / q_len[part, None]) @ (p / p_len[:, None]).T
+            rough[q_ids[part, None] == p_ids[None]] = -np.inf
+            if len(p) > k:
+                limit = -np.partition(-rough, k - 1, 1)[:, k - 1] - 1e-9  # the exact order is found among these
+                row, col = np.nonzero((rough >= limit[:, None]) & np.isfinite(rough))
+            else:
+                row, col = np.nonzero(np.isfinite(rough))
+            score = (q[part][row] * p[col]).sum(1) / (q_len[part][row] * p_len[col])
+            order = np.lexsort((p_ids[col], -score, row))
+            row, col, score = row[order], col[order], score[order]
+            place = np.arange(len(row)) - np.searchsorted(row, row)
+            for a, b in zip(out, (q_ids[part][row], p_ids[col], score), strict=True):
+                a.append(b[place < k])
+    kinds = (pa.int64(), pa.int64(), pa.float64())
+    return pa.table({c: pa.array(np.concatenate(x) if x else [], t)
+                     for c, x, t in zip(("query_id", "vec_id", "score"), out, kinds, strict=True)})
+
+
+def search(embeddings: DataFrame, is_query, k: int = 5, id_col: str = "vec_id",
+           vector_col: str = "embedding") -> DataFrame:
+    """The k nearest rows (largest cosine) of every row for which ``is_query`` holds, its own id left out:
+    ``query_id, rank, vec_id, score``."""
+    rows = written(usable(embeddings, id_col, vector_col), "vectors")
+    indexed = written(top_k_per_group(rows, ["vector"], [F.col("vec_id").asc()], k + 1, "copy_no").drop("copy_no"), "indexed")
+    if indexed.isEmpty():
+        return rows.sparkSession.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
+    centroids = fit(indexed)
+    read = max(LEAST_READ, len(centroids.points) // READ_SHARE)
+    posting = written(into_lists(indexed, centroids, 4, SPREAD, True), "posting")
+    queries = written(into_lists(rows.filter(is_query(F.col("vec_id"))), centroids, read, REACH, False), "queries")
+    blocks = lambda d, name: d.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias(name))
+    # At most MAX_LISTS rows.
+    sizes = blocks(posting, "p_blocks").join(blocks(queries, "q_blocks"), "list")
+    deal = lambda n: F.pmod(F.xxhash64("vec_id"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    keys = ["list", "p", "q"]
+    posting = posting.join(F.broadcast(sizes), "list").withColumn("p", deal("p_blocks")).withColumn("q", each("q_blocks"))
+    queries = queries.join(F.broadcast(sizes), "list").withColumn("q", deal("q_blocks")).withColumn("p", each("p_blocks"))
+    found = queries.select(*keys, "vec_id", "packed").groupBy(*keys).cogroup(
+        posting.select(*keys, "vec_id", "packed").groupBy(*keys)).applyInArrow(
+        lambda q, p: best_of_block(q, p, k), "query_id bigint, vec_id bigint, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
+    return top_k_per_group(found, ["query_id"], [F.col("score").desc(), F.col("vec_id").asc()], k) \
+        .select("query_id", "rank", "vec_id", "score")
