@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, pieces, pii, shards, vectors, warc
+from . import mixing, ngram_join, pieces, pii, shards, spotsigs, vectors, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -54,6 +54,11 @@ FROM p LEFT JOIN firsts f USING (payload_digest)
 """
 
 
+@query("op4_spotsigs")
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.compare_edited(table(spark, sf_dir, "documents"))
+
+
 @query("op5_pieces")
 def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = pieces.load()
