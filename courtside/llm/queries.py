@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, ngram_join, pieces, pii, shards, spotsigs, vectors, warc
+from . import langid, mixing, ngram_join, pieces, pii, quality, shards, spotsigs, vectors, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -17,6 +17,7 @@ MIX_WEIGHTS = (3, 1, 2)
 MIX_RATE = 1.5
 MIX_COPIES = 2
 SHARDS = 16
+LANGUAGE_CONFIDENCE = 0.5
 
 
 def query(name: str):
@@ -73,6 +74,20 @@ def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+@query("op7_language_evidence")
+def op7_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    found = langid.identify(docs, declared=F.col("lang"), host=F.col("source"))
+    return found.select("doc_id", "lang", "detected", "confidence",
+                        ((F.col("detected") != "und") & (F.col("confidence") >= LANGUAGE_CONFIDENCE)).alias("kept"))
+
+
+@query("op8_kneser_ney_quality")
+def op8_kneser_ney_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1 AND toxic = 0").select("doc_id")
+    return quality.classify(table(spark, sf_dir, "documents"), trusted)
+
+
 @query("op9_pii_anchors")
 def op9_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
