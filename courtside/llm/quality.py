@@ -289,7 +289,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", out_col: str =
 
 
 def classify(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", quantile: float = 0.99, margin: float = 1.15, order: int = ORDER) -> DataFrame:
+             lang_col: str = "lang", quantile: float = 0.99, margin: float = 1.3, order: int = ORDER) -> DataFrame:
     """``doc_id, lang, perplexity, threshold, kept`` of every document; ``trusted`` holds the ids (one
     column) of trusted documents."""
     mark = trusted.select(F.col(trusted.columns[0]).alias("_id")).dropDuplicates(["_id"]).withColumn("_trusted", F.lit(True))

@@ -28,6 +28,7 @@ ANCHORS = (
     "le la les de et en un une du est que pour dans avec par sur qui pas elle il ce au "
     "el los las y por con para del se su al lo una más como pero"
 ).split()
+LAST = (1 << 63) - 1  # the place of documents without an id
 _BETWEEN = r"[\s\p{Punct}]+"
 
 
@@ -42,18 +43,18 @@ def signatures(docs: DataFrame, text: Column, out_col: str) -> DataFrame:
     at = lambda k: F.get("_at", k)
     spots = F.filter(F.sequence(F.lit(0), F.size("_at") - 2),
                      lambda k: at(k) - F.coalesce(at(k - 1), F.lit(-1)) > 1)
-    chain = F.transform(spots, lambda k: F.xxhash64(
+    chain = F.transform(spots, lambda k: F.hash(
         F.get("_words", at(k) - 1), F.get("_words", at(k)), F.get("_words", at(k + 1))))
     found = marked.select(*names, "_text", "_words", F.when(F.size("_at") > 1, chain).alias("_chain"))
-    whole = F.when(F.size("_words") > 0, F.xxhash64(F.concat_ws(" ", "_words"))).otherwise(F.xxhash64("_text"))
+    whole = F.when(F.size("_words") > 0, F.hash(F.concat_ws(" ", "_words"))).otherwise(F.hash("_text"))
     return found.select(*names, F.when(F.size("_chain") > 0, F.sort_array(F.array_distinct("_chain")))
                         .when(F.length("_text") > 0, F.array(whole))
-                        .otherwise(F.array().cast("array<bigint>")).alias(out_col))
+                        .otherwise(F.array().cast("array<int>")).alias(out_col))
 
 
 def fingerprint(signature_set: Column) -> Column:
-    """The set as text, 16 hexadecimal digits a signature."""
-    return F.lower(F.array_join(F.transform(signature_set, lambda s: F.lpad(F.hex(s), 16, "0")), ""))
+    """The set as text, 8 hexadecimal digits a signature."""
+    return F.lower(F.array_join(F.transform(signature_set, lambda s: F.substring(F.hex(s.cast("bigint") + (1 << 32)), -8, 8)), ""))
 
 
 def length_partition(size: Column, least: float) -> Column:
@@ -78,8 +79,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     their texts' digests; rows that repeat both count as one there.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("doc_id"), text.alias("text")).withColumns({
-        "place": F.coalesce(-F.col("doc_id"), F.lit((1 << 63) - 1)), "digest": F.md5(F.col("text").cast("binary"))})
+    rows = docs.select((-F.col(id_col).cast("bigint")).alias("place"), text.alias("text")).select(
+        F.coalesce("place", F.lit(LAST)).alias("place"), F.md5(F.col("text").cast("binary")).alias("digest"), "text")
     order = rows.groupBy("place", "digest").agg(
         F.max(F.length("text")).alias("n_chars"), F.count(F.lit(1)).alias("repeats"))
     order = written(running_totals(order, ["place", "digest"], []), "order")
@@ -95,8 +96,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     heads = signatures(once.drop("repeats"), F.col("text"), "next_signatures").select(
         F.col("prev_place").alias("place"), F.col("prev_digest").alias("digest"), "next_signatures",
         F.expr("substring(text, 1, need)").alias("head"))
-    return placed.select("place", "digest", "doc_id", "text", "n_chars").join(heads, ["place", "digest"]) \
-        .select("doc_id", "text", F.col("n_chars").cast("bigint").alias("n_chars"), "head", "next_signatures")
+    # Both sides of this join read the one exchange of the texts.
+    return placed.select("place", "digest", "text", "n_chars").join(heads, ["place", "digest"]) \
+        .select((-F.nullif("place", F.lit(LAST))).alias("doc_id"), "text",
+                F.col("n_chars").cast("bigint").alias("n_chars"), "head", "next_signatures")
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
