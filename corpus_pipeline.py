@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     joined = ngram_join.join_documents(docs, shingle=5, percent=80)
     first = joined.filter("doc_id = component_id").select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
-    kept = top_k_per_group(kept, ["doc_id"], [F.col("text").asc_nulls_last()], 1, "row_no").drop("row_no")
+    kept = top_k_per_group(kept, ["doc_id"], [F.col("text").asc_nulls_last()], 1, "_row_no").select(*docs.columns)
     return kept.unionByName(docs.filter("doc_id IS NULL"))
 
 
