@@ -16,10 +16,12 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import running_totals, written
+from .components import connected_components
+from .ngram_join import links_by_prefix
 
 # Anchors: common words of English, German, French and Spanish (fixed values).
 ANCHORS = (
@@ -121,3 +123,43 @@ def compare_edited(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("changed")).alias("edited_fingerprint"),
         likeness(F.col("own"), F.col("changed")).alias("near_edited"),
         likeness(F.col("own"), F.col("next_signatures")).alias("near_next"))
+
+
+def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, n_signatures, class_id``: the least id among the documents that links of likeness
+    ``least`` or more join. Documents without signatures stand alone.
+
+    Equal sets are one class. A class's rarest signatures, few enough that a class alike must hold
+    one of them, are listed under its length partition and the next one; only classes that meet
+    there are compared, those out of the length bound left out.
+    """
+    percent = round(100 * least)
+    marks = fingerprints(docs, id_col, text_col).select(
+        "doc_id", F.size("signatures").alias("n"), F.xxhash64("fingerprint").alias("cls"),
+        F.transform("signatures", lambda s: s.cast("bigint")).alias("signatures"))
+    marks = written(marks, "marks")
+    sets = written(marks.filter("n > 0").select("cls", "n", "signatures").dropDuplicates(["cls"]), "mark-sets")
+    listed = sets.select("cls", "n", F.explode("signatures").alias("signature"))
+    counts = listed.groupBy("signature").agg(F.count(F.lit(1)).alias("c"))
+    rarest = Window.partitionBy("cls").orderBy("c", "signature")  # a class's own signatures
+    listed = listed.join(counts, "signature").withColumn("place", F.row_number().over(rarest)) \
+        .filter(F.col("place") <= F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + 1)
+    part = length_partition(F.col("n"), percent / 100 * 0.999)
+    listed = listed.select("cls", "n", "signature", F.explode(F.array(part, part + 1)).alias("part")) \
+        .select("cls", "n", F.lit(1).alias("k"), F.xxhash64("signature", "part").alias("token"))
+
+    def verify(pairs: DataFrame, outside: bool = False) -> DataFrame:
+        known = sets.select("cls", "signatures")
+        both = pairs.join(known.toDF("a", "set_a"), "a").join(known.toDF("b", "set_b"), "b")
+        shared = F.size(F.array_intersect("set_a", "set_b"))
+        alike = F.lit(100) * shared >= F.lit(percent) * (F.size("set_a") + F.size("set_b") - shared)
+        rest = F.array_except("set_a", "set_b") if outside else F.array().cast("array<bigint>")
+        return both.select("a", "b", alike.alias("linked"), rest.alias("outside"))
+
+    labels = connected_components(links_by_prefix(listed, percent, verify))
+    first = marks.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id")) \
+        .join(labels.select(F.col("node").alias("cls"), "label"), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    named = first.join(first.groupBy("label").agg(F.min("first_id").alias("class_id")), "label").select("cls", "class_id")
+    return marks.join(named, "cls", "left").select(
+        "doc_id", F.col("n").cast("bigint").alias("n_signatures"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"))
