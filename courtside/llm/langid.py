@@ -79,8 +79,9 @@ def fit_text_model(rows: DataFrame, id_col: str, text_col: str, label: Column) -
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 at, n = np.unique(trigrams(text), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at)), pa.array(at), pa.array(n)],
-                                                 names=["label", "bucket", "n"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int64()), pa.array(n, pa.int64())],
+                    names=["label", "bucket", "n"])
 
     counts = chosen.select("label", "text").mapInArrow(count, "label string, bucket bigint, n bigint") \
         .groupBy("label", "bucket").agg(F.sum("n").alias("n"))

@@ -62,7 +62,8 @@ def _anchors():
         found.add_word(digit, ("0", 1))
     for cue in CUES:
         for form in (cue, cue.upper(), cue.capitalize()):
-            found.add_word(form, ("ssn" if cue.startswith(("ssn", "social")) else "cue", len(form)))
+            kind = "iban" if cue == "iban" else "ssn" if cue.startswith(("ssn", "social")) else "cue"
+            found.add_word(form, (kind, len(form)))
     found.make_automaton()
     return found
 
@@ -102,6 +103,8 @@ def _account(text: str, at: int, kind: str) -> tuple[str, int, int] | None:
         for end in range(m.end(), at + 14, -1):
             if text[end - 1] != " " and _iban_ok(text[at:end]):
                 return "iban", at, end
+    if kind == "iban":
+        return None
     if kind == "ssn":
         m = _SSN.match(text, at)
         if m and m[1] not in ("000", "666") and m[1] < "900" and m[2] != "00" and m[3] != "0000":

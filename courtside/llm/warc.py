@@ -142,12 +142,12 @@ class WarcReader(DataSourceReader):
                 return False
         return True
 
-    def read(self, partition: WarcFiles) -> Iterator[pa.RecordBatch]:
+    def read(self, partition: WarcFiles | None) -> Iterator[pa.RecordBatch]:
         system, _ = _open(self.options["path"])
         types = [pa.binary() if c == "payload" else pa.int64() if c in LONGS else pa.string() for c in self.columns]
         schema = pa.schema(list(zip(self.columns, types, strict=True)))
         rows, held = [], 0
-        for path in partition.paths:
+        for path in partition.paths if partition else ():  # an empty folder has no partitions
             for fields in self._records(system, path):
                 rows.append([fields[c] for c in self.columns])
                 held += 200 + len(fields.get("payload") or b"")
@@ -242,7 +242,7 @@ class WarcWriter(DataSourceWriter):
             if out is None:
                 name = f"{uuid.uuid4().hex}.warc" + ".gz" * self.packed
                 made.append(name)
-                out, held = system.open_output_stream(f"{root}/_{name}"), 0
+                out, held = system.open_output_stream(f"{root}/_{name}", compression=None), 0
             record = self._record(row)
             out.write(record)
             held += len(record)

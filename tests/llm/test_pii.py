@@ -42,7 +42,7 @@ def test_added_spans():
 
 def test_redaction():
     assert pii.redact("mail a@b.co or +49 170 1234567.") == "mail [email] or [phone]."
-    assert pii.redact("http://u:p@h.io/") == "http://[login].io/" or "[email]" in pii.redact("http://u:p@h.io/")
+    assert pii.redact("http://u:p@h.io/") == "http://[login]/"  # login and email overlap: both go
     assert pii.redact(None) is None and pii.redact("") == ""
 
 

@@ -8,11 +8,14 @@ from tests.oracle_compare import compare, duck
 PAGES = "page_id long, url string, html string, payload string, record_type string"
 
 
+LOOKALIKE = "WARC/1.1\r\nWARC-Type: response\r\n\r\n" + "y" * 200
+
+
 def pages(spark):
     big = "<p>" + "äß" * 400 + "</p>"
     rows = [(5, "http://a/1", big), (3, "http://a/2", big), (9, None, big), (9, "http://x", big), (4, "http://a/3", None),
             (7, "http://a/4", ""), (8, "u", "short"), (10, "u", "short"), (11, "u\r\nX-Evil: 1", "x" * 500000),
-            (None, "u", big), (12, "u", "WARC/1.1\r\nWARC-Type: response\r\n\r\n" + "y" * 200), (3, "http://a/2", big)]
+            (None, "u", big), (12, "u", LOOKALIKE), (3, "http://a/2", big)]
     return spark.createDataFrame([(*r, "p", "q") for r in rows], PAGES)
 
 
@@ -21,7 +24,7 @@ def test_round_trip(spark):
     big = 7 + 4 * 400
     assert out == {(5, big, "revisit", 3), (3, big, "response", None), (9, big, "revisit", 3), (None, big, "revisit", 3),
                    (4, 0, "response", None), (7, 0, "response", None), (8, 5, "response", None), (10, 5, "response", None),
-                   (11, 500000, "response", None), (12, 235, "response", None)}
+                   (11, 500000, "response", None), (12, len(LOOKALIKE), "response", None)}
     assert warc.roundtrip(pages(spark)).count() == 12
     assert warc.roundtrip(pages(spark).limit(0)).count() == 0
 
