@@ -148,13 +148,17 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
     listed = listed.select("cls", "n", "signature", F.explode(F.array(part, part + 1)).alias("part")) \
         .select("cls", "n", F.lit(1).alias("k"), F.xxhash64("signature", "part").alias("token"))
 
-    def verify(pairs: DataFrame, outside: bool = False) -> DataFrame:
+    def verify(pairs: DataFrame, differences: bool = False) -> DataFrame:
         known = sets.select("cls", "signatures")
         both = pairs.join(known.toDF("a", "set_a"), "a").join(known.toDF("b", "set_b"), "b")
         shared = F.size(F.array_intersect("set_a", "set_b"))
-        alike = F.lit(100) * shared >= F.lit(percent) * (F.size("set_a") + F.size("set_b") - shared)
-        rest = F.array_except("set_a", "set_b") if outside else F.array().cast("array<bigint>")
-        return both.select("a", "b", alike.alias("linked"), rest.alias("outside"))
+        both = both.withColumns({"shared": shared, "all": F.size("set_a") + F.size("set_b") - shared})
+        near = F.lit(100) * F.col("shared") >= F.lit(2 * percent - 100) * F.col("all")
+        keep, none = near & F.lit(differences), F.array().cast("array<bigint>")
+        return both.select(
+            "a", "b", (F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("all")).alias("linked"), near.alias("near"),
+            F.when(keep, F.array_except("set_b", "set_a")).otherwise(none).alias("missing"),
+            F.when(keep, F.array_except("set_a", "set_b")).otherwise(none).alias("outside"))
 
     labels = connected_components(links_by_prefix(listed, percent, verify))
     first = marks.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id")) \
