@@ -3,9 +3,10 @@
 ``run_checks(df, rules)`` returns one row per rule: (rule, column_name, failures). The
 failure count is the number of rows the equivalent test query would return: NULL rows for
 ``not_null``, duplicated (non-null) values for ``unique``, duplicated key combinations for
-``unique_combination``, distinct unexpected values for ``accepted_values``. All
-``not_null`` rules are evaluated in one aggregate pass; each uniqueness rule is one
-grouped aggregate (partial aggregation before the shuffle).
+``unique_combination``, distinct unexpected values for ``accepted_values``. The checked
+columns are computed once and written; every rule reads that copy. All ``not_null`` rules are
+evaluated in one aggregate pass; each uniqueness rule is one grouped aggregate (partial
+aggregation before the shuffle).
 """
 
 from __future__ import annotations
@@ -15,6 +16,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .merge import materialize
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -44,6 +47,8 @@ def accepted_values(col: str, values: list[str]) -> Rule:
 
 
 def run_checks(df: DataFrame, rules: list[Rule]) -> DataFrame:
+    used = {c for r in rules for c in r.columns}
+    df = materialize(df.sparkSession, df.select(*[c for c in df.columns if c in used]), "checked")
     parts: list[DataFrame] = []
     nn = [r for r in rules if r.kind == "not_null"]
     if nn:
@@ -100,3 +105,9 @@ DATE_STATUS_RULES = [
     unique("date"),
     accepted_values("status", DATE_STATUSES),
 ]
+
+# Primary keys of the staging tables. A game's versions share (game_date, game_id), so the last
+# rule reports the games that the faithful box status lists more than once (trap T8).
+API_LOG_RULES = [*not_null("id"), unique("id")]
+DAILY_SUMMARY_RULES = [*not_null("game_date"), unique("game_date")]
+BOX_STATUS_RULES = [*not_null("game_date", "game_id"), unique_combination("game_date", "game_id")]

@@ -24,7 +24,7 @@ def keep_preferred(df: DataFrame, keys: list[str], order: list[Column],
     """
     cols = [c for c in (columns or df.columns) if c not in keys]
     w = Window.partitionBy(*keys).orderBy(*order)
-    ranked = df.select(*keys, *cols, F.row_number().over(w).alias("_rn"))
+    ranked = df.withColumn("_rn", F.row_number().over(w))
     return ranked.filter(F.col("_rn") <= 1).select(*keys, *cols)
 
 
@@ -34,12 +34,14 @@ def newest_first(updated_at: str = "updated_at", tie: str = "id") -> list[Column
 
 
 def official_then_newest(season_id: str = "season_id", updated_at: str = "updated_at") -> list[Column]:
-    """Official phase first, then ``coalesce(updated_at, epoch) DESC``, then ``season_id DESC``
-    with NULLs first (the source database's DESC rule)."""
+    """Official phase first (an unknown phase is not official, like any other that is not), then
+    ``coalesce(updated_at, epoch) DESC``, then ``season_id DESC`` with NULLs first (the source
+    database's DESC rule), then ``id DESC`` so that the pick is unique."""
     return [
-        X.is_official(season_id).desc(),
+        F.coalesce(X.is_official(season_id), F.lit(False)).desc(),
         F.coalesce(F.col(updated_at), X.epoch()).desc(),
         F.col(season_id).desc_nulls_first(),
+        F.col("id").desc(),
     ]
 
 

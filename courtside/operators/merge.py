@@ -2,6 +2,7 @@
 
 All are anti/semi/left joins plus ``unionByName`` producing the next version of a table;
 callers write that version to a new path (a path cannot be overwritten while it is read).
+``replace_in_partitions`` rewrites only the touched partitions of a stored table instead.
 Plain parquet has no row-level MERGE, so none is assumed.
 """
 
@@ -9,9 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from .dedupe import keep_preferred
+from .drift import apply_policy
 from .joins import cut_lineage
 from .ranking import global_row_number
 
@@ -22,19 +25,48 @@ def latest_per_key(batch: DataFrame, keys: list[str], order: Column) -> DataFram
     return keep_preferred(batch, keys, [order.desc()])
 
 
-def keyed_replace(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
-    """delete+insert: drop every target row whose key appears in the batch, then add the batch."""
-    kept = target.join(batch.select(*keys).distinct(), keys, "left_anti")
-    return kept.unionByName(batch.select(*target.columns))
+def keyed_replace(target: DataFrame, batch: DataFrame, keys: list[str], gone: DataFrame | None = None,
+                  policy: str = "fail") -> DataFrame:
+    """delete+insert: drop every target row whose key appears in the batch (or in ``gone``), then add
+    the batch. A changed set of columns raises or is followed, by ``policy``."""
+    target, batch = apply_policy(target, batch, policy)
+    dead = batch.select(*keys) if gone is None else batch.select(*keys).unionByName(gone.select(*keys))
+    return target.join(dead.distinct(), keys, "left_anti").unionByName(batch)
+
+
+def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, keys: list[str],
+                          partition_by: str, gone: DataFrame | None = None, policy: str = "fail") -> DataFrame:
+    """``keyed_replace`` on the stored table at ``path``, writing only the partitions that hold a
+    replaced or a new row; returns the whole table.
+
+    The new rows of those partitions are written to the checkpoint folder before the table is
+    touched, so no read meets half-overwritten files. Partitions left without rows are removed.
+    """
+    target = spark.read.schema(schema).parquet(path).select(*schema.names)
+    target, batch = apply_policy(target, batch, policy)
+    batch = cut_lineage(batch)
+    dead = batch.select(*keys) if gone is None else batch.select(*keys).unionByName(gone.select(*keys))
+    dead = cut_lineage(dead.distinct())
+    hit = target.join(dead, keys, "left_semi").select(partition_by)
+    touched = cut_lineage(hit.union(batch.select(partition_by)).distinct())
+    part = F.col(partition_by).eqNullSafe(F.col("_part"))
+    kept = target.join(touched.withColumnRenamed(partition_by, "_part"), part, "left_semi").join(dead, keys, "left_anti")
+    new = cut_lineage(kept.unionByName(batch))
+    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    left = new.select(F.col(partition_by).alias("_part")).distinct()
+    # Partition values of one run: calendar days.
+    for row in touched.join(left, part, "left_anti").collect():
+        folder = spark._jvm.org.apache.hadoop.fs.Path(
+            f"{path}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
     """Insert rows whose key is absent; existing keys are left untouched. Within ``rows`` the first
-    row per key (smallest ``order``, default any) is the one inserted."""
-    if order is not None:
-        rows = keep_preferred(rows, keys, [order.asc()])
-    else:
-        rows = rows.dropDuplicates(keys)
+    row per key (smallest ``order``, default: of all columns) is the one inserted."""
+    first = [order.asc()] if order is not None else [F.col(c).asc() for c in rows.columns]
+    rows = keep_preferred(rows, keys, first)
     new = rows.join(target.select(*keys), keys, "left_anti")
     return target.unionByName(new.select(*target.columns))
 
@@ -52,42 +84,41 @@ def update_only(target: DataFrame, updates: DataFrame, keys: list[str], columns:
 
 
 def upsert(target: DataFrame, batch: DataFrame, keys: list[str], id_col: str | None = "id",
-           stamp: Column | None = None, id_floor: Column | None = None) -> DataFrame:
+           stamp: Column | None = None, policy: str = "fail") -> DataFrame:
     """Update rows whose key exists (columns present in the batch overwrite; others such as the
     surrogate id are kept), insert the rest with fresh ids after the current maximum.
 
     ``batch`` must hold one row per key (see ``latest_per_key``). ``stamp`` is written to
-    ``updated_at`` of every batch row (one value per batch). ``id_floor`` is the largest id in
-    use when ``target`` is only part of the table (default: the maximum id of ``target``).
+    ``updated_at`` of every batch row (one value per batch). Under policy ``fail`` a column that the
+    target lacks, or of another type, raises. Target and batch are read once, in one full outer join.
     """
     if stamp is not None:
         batch = batch.withColumn("updated_at", stamp)
-    # The batch feeds four branches (matched, untouched, fresh, numbering): compute it once.
-    batch = cut_lineage(batch)
-    bcols = [c for c in batch.columns if c in target.columns]
-    keep_cols = [c for c in target.columns if c not in bcols]
-    b = batch.select(*bcols)
-    # Matched: target-only columns (the id) joined to the batch row.
-    matched = target.select(*keys, *[c for c in keep_cols if c not in keys]).join(b, keys, "inner")
-    untouched = target.join(b.select(*keys), keys, "left_anti")
-    fresh = b.join(target.select(*keys), keys, "left_anti")
-    if id_col is not None and id_col in keep_cols:
-        # New serial ids continue after the current maximum (a scalar subquery, no join).
-        top = id_floor if id_floor is not None else target.select(F.coalesce(F.max(id_col), F.lit(0))).scalar()
-        numbered = global_row_number(fresh, keys, "_seq")
-        fresh = numbered.withColumn(id_col, (top + F.col("_seq")).cast(target.schema[id_col].dataType))
-    out_cols = target.columns
-    parts = [untouched.select(*out_cols), matched.select(*out_cols)]
-    parts.append(fresh.select(*[F.col(c) if c in fresh.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                                for c in out_cols]))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def append(target: DataFrame, rows: DataFrame) -> DataFrame:
-    return target.unionByName(rows.select(*target.columns))
+    own = [c for c in target.columns if c not in batch.columns]
+    target, batch = apply_policy(target, batch.select("*", *[F.lit(None).cast(target.schema[c].dataType).alias(c) for c in own]),
+                                 policy)
+    given = [c for c in batch.columns if c not in keys and c not in own]
+    b = batch.select(*keys, *[F.col(c).alias(f"_b_{c}") for c in given], F.lit(True).alias("_hit"))
+    # The full outer join keeps rows of either side whose key holds a NULL apart.
+    both = target.withColumn("_old", F.lit(True)).join(b, keys, "full_outer")
+    merged = both.select(*[
+        F.when(F.col("_hit"), F.col(f"_b_{c}")).otherwise(F.col(c)).alias(c) if c in given else F.col(c)
+        for c in target.columns], F.coalesce("_old", F.lit(False)).alias("_old"))
+    if id_col is None or id_col not in own:
+        return merged.select(*target.columns)
+    merged = cut_lineage(merged)  # read by the numbering and by the result
+    top = merged.select(F.coalesce(F.max(id_col), F.lit(0))).scalar()
+    fresh = global_row_number(merged.filter(~F.col("_old")), keys, "_seq")
+    fresh = fresh.withColumn(id_col, (top + F.col("_seq")).cast(target.schema[id_col].dataType))
+    return merged.filter("_old").select(*target.columns).unionByName(fresh.select(*target.columns))
+
+
+def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema_of: DataFrame) -> DataFrame:
+    """Append ``rows`` as new files of the table at ``path`` and return the whole table."""
+    _, rows = apply_policy(schema_of, rows.select(*schema_of.columns), "fail")
+    rows = cut_lineage(rows)  # they may have been numbered from the table itself
+    rows.write.mode("append").parquet(path)
+    return spark.read.schema(schema_of.schema).parquet(path)
 
 
 def append_partitions(spark: SparkSession, new: DataFrame, path: str, partition_by: list[str],

@@ -94,9 +94,12 @@ def coverage_counts(games: DataFrame, team_box: DataFrame) -> DataFrame:
 
 
 def games_in_date_range(games: DataFrame, start: str, end: str, league_prefix: str | None = None) -> DataFrame:
-    """Game rows dated ``start..end`` inclusive, optionally one league's game ids."""
-    d = F.to_date("game_date", "yyyy-MM-dd")
-    out = games.filter(d.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
+    """Game rows dated ``start..end`` inclusive, optionally one league's game ids.
+
+    Stored dates are ISO text, whose order is that of the dates: both bounds reach the parquet scan.
+    """
+    out = games.filter(F.col("game_date").between(dt.date.fromisoformat(start).isoformat(),
+                                                  dt.date.fromisoformat(end).isoformat()))
     if league_prefix is not None:
         out = out.filter(F.col("game_id").startswith(league_prefix))
     return out

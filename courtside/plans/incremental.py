@@ -4,9 +4,10 @@
   (``max(updated_at)`` of the target, a scalar subquery), model rebuilt from those rows
   only, target rows with the same key replaced. Known to drift from a full refresh
   (trap T7), kept because it is what the reference computes.
-* ``affected_keys``: find every key touched since the watermark of the previous run in
-  *any* input, recompute exactly those keys from the full inputs, replace them. Equals a
-  full refresh.
+* ``affected_keys``: find every game touched since the watermark of the previous run in *any*
+  input (an unstamped row may be new, so it counts as touched), take its new keys from the inputs and
+  its old ones from what the previous run stored, recompute those keys from the full inputs and
+  replace them. Equals a full refresh, also when a game moves to another date.
 """
 
 from __future__ import annotations
@@ -14,8 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import merge
-from ..operators.joins import join_dimension
 from . import staging
 
 
@@ -25,62 +24,62 @@ def high_water_mark(target: DataFrame, col: str = "updated_at") -> Column:
     return target.select(F.max(col)).scalar()
 
 
-def apilogs_incremental(api_calls: DataFrame, target: DataFrame | None) -> DataFrame:
-    """Take calls at or after the mark, replace by id."""
-    if target is None:
-        return staging.stg_api_call_logs(api_calls)
-    batch = staging.stg_api_call_logs(api_calls, high_water_mark(target))
-    return merge.keyed_replace(target, batch, ["id"])
+def apilogs_batch(api_calls: DataFrame, target: DataFrame | None) -> DataFrame:
+    """The calls to store: all at first, then those at or after the mark, replaced by id."""
+    return staging.stg_api_call_logs(api_calls, None if target is None else high_water_mark(target))
 
 
-def daily_incremental(games: DataFrame, team_box: DataFrame, target: DataFrame | None) -> DataFrame:
-    """I2 faithful: both inputs cut at the mark, days rebuilt from new rows only, replaced by date."""
-    if target is None:
-        return staging.stg_daily_game_summary(games, team_box)
-    batch = staging.stg_daily_game_summary(games, team_box, high_water_mark(target))
-    return merge.keyed_replace(target, batch, ["game_date"])
+def daily_batch(games: DataFrame, team_box: DataFrame, target: DataFrame | None) -> DataFrame:
+    """I2 faithful, the days to store: both inputs cut at the mark, days rebuilt from new rows only."""
+    return staging.stg_daily_game_summary(games, team_box, None if target is None else high_water_mark(target))
 
 
-def gbs_incremental(games: DataFrame, team_box: DataFrame, date_status: DataFrame,
+def gbs_batch(games: DataFrame, team_box: DataFrame, date_status: DataFrame,
                     target: DataFrame | None) -> DataFrame:
-    """I3 faithful: inputs cut at the mark, OR of three marks after the joins, replaced by key."""
-    if target is None:
-        return staging.stg_game_boxscore_status(games, team_box, date_status)
-    batch = staging.stg_game_boxscore_status(games, team_box, date_status, high_water_mark(target))
-    return merge.keyed_replace(target, batch, ["game_date", "game_id"])
+    """I3 faithful, the rows to store: inputs cut at the mark, OR of three marks after the joins."""
+    mark = None if target is None else high_water_mark(target)
+    return staging.stg_game_boxscore_status(games, team_box, date_status, mark)
+
+
+def _since(column: str, mark: Column) -> Column:
+    return F.col(column).isNull() | (F.col(column) >= mark)
 
 
 def _touched_games(games: DataFrame, team_box: DataFrame, since: Column) -> DataFrame:
-    """Game ids with a game row or a team-box row stamped at or after ``since``."""
-    g = games.filter(F.col("updated_at") >= since).select("game_id")
-    b = team_box.filter(F.col("updated_at") >= since).select("game_id")
+    """Game ids with a game row or a team-box row stamped at or after ``since``, or not at all."""
+    g = games.filter(_since("updated_at", since)).select("game_id")
+    b = team_box.filter(_since("updated_at", since)).select("game_id")
     return g.unionByName(b).distinct()
 
 
-def daily_affected_keys(games: DataFrame, team_box: DataFrame, target: DataFrame, since: str) -> DataFrame:
-    """I2 affected-keys: every day holding a touched game is recomputed from full inputs."""
-    mark = F.lit(since).cast("timestamp_ntz")
-    touched = _touched_games(games, team_box, mark)
-    days = (games.join(touched, "game_id", "left_semi")
-            .select(F.col("game_date").cast("date").alias("game_date")).distinct())
-    # Only games of affected days feed the recomputation; the day list is calendar-bounded.
+def daily_affected_keys(games: DataFrame, team_box: DataFrame, placed: DataFrame, since: str) -> tuple[DataFrame, DataFrame]:
+    """I2 affected-keys: ``(fresh rows, replaced days)``. Every day that holds a touched game, or held
+    one when ``placed`` (game_id, game_date: the box status of the previous run) was stored, is
+    recomputed from the full inputs; a day that lost its last game has no fresh row."""
+    touched = _touched_games(games, team_box, F.lit(since).cast("timestamp_ntz"))
+    dated = games.select("game_id", F.col("game_date").cast("date").alias("game_date"))
+    days = dated.unionByName(placed.select("game_id", "game_date")).join(touched, "game_id", "left_semi") \
+        .select("game_date").distinct()
     g = games.withColumn("_d", F.col("game_date").cast("date"))
-    g = join_dimension(g, days.withColumnRenamed("game_date", "_d"), "_d", "left_semi").drop("_d")
-    fresh = staging.stg_daily_game_summary(g, team_box)
-    return merge.keyed_replace(target, fresh, ["game_date"])
+    g = g.join(days.withColumnRenamed("game_date", "_d"), "_d", "left_semi").drop("_d")
+    box = team_box.join(g.select("game_id").distinct(), "game_id", "left_semi")
+    return staging.stg_daily_game_summary(g, box), days
 
 
 def gbs_affected_keys(games: DataFrame, team_box: DataFrame, date_status: DataFrame, target: DataFrame,
-                      since: str) -> DataFrame:
-    """I3 affected-keys: keys of touched games, plus every game on a date whose status row changed."""
+                      since: str) -> tuple[DataFrame, DataFrame]:
+    """I3 affected-keys: ``(fresh rows, replaced keys)`` of touched games, wherever they stood in
+    ``target``, and of every game on a date whose status row changed."""
     mark = F.lit(since).cast("timestamp_ntz")
-    touched = _touched_games(games, team_box, mark)
-    changed_days = (date_status.filter(F.col("last_checked") >= mark)
-                    .select(F.col("date").alias("_d")).distinct())
-    g = games.withColumn("_d", F.col("game_date").cast("date"))
-    by_game = g.join(touched, "game_id", "left_semi")
-    by_day = join_dimension(g, changed_days, "_d", "left_semi")
-    affected = by_game.unionByName(by_day).select("game_id", "_d").distinct()
-    g = g.join(affected, ["game_id", "_d"], "left_semi").drop("_d")
-    fresh = staging.stg_game_boxscore_status(g, team_box, date_status)
-    return merge.keyed_replace(target, fresh, ["game_date", "game_id"])
+    touched = _touched_games(games, team_box, mark).withColumn("_touched", F.lit(True))
+    days = date_status.filter(_since("last_checked", mark)).select(F.col("date").alias("game_date")).distinct() \
+        .withColumn("_changed", F.lit(True))
+
+    def affected(df: DataFrame) -> DataFrame:
+        hit = df.join(touched, "game_id", "left").join(days, "game_date", "left")
+        return hit.filter("_touched OR _changed").drop("_touched", "_changed")
+
+    g = affected(games.withColumn("_text", F.col("game_date")).withColumn("game_date", F.col("game_date").cast("date")))
+    g = g.drop("game_date").withColumnRenamed("_text", "game_date")
+    box = team_box.join(g.select("game_id").distinct(), "game_id", "left_semi")
+    return staging.stg_game_boxscore_status(g, box, date_status), affected(target.select("game_date", "game_id"))

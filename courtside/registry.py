@@ -34,13 +34,13 @@ def query(name: str):
     return deco
 
 
-_TABLES: dict[tuple[int, str], DriverTables] = {}
+_TABLES: dict[str, DriverTables] = {}
 
 
 def tables(spark: SparkSession, sf_dir: str) -> DriverTables:
     """Raw-shaped views of one folder, defined once per session (plans are lazy; nothing is cached)."""
-    key = (id(spark), sf_dir.rstrip("/"))
-    if key not in _TABLES:
+    key = sf_dir.rstrip("/")
+    if key not in _TABLES or _TABLES[key].spark is not spark:
         _TABLES[key] = DriverTables(spark, sf_dir)
     return _TABLES[key]
 
@@ -341,49 +341,78 @@ def _before(df, col: str, t0: str):
     return df.filter(F.col(col).isNull() | (F.col(col) < F.lit(t0).cast("timestamp_ntz")))
 
 
+def _stored(spark, first, name: str, part: str) -> tuple[str, DataFrame]:
+    """A first run's rows as a partitioned table."""
+    path = scratch_path(spark, name)
+    return path, merge.materialize_at(spark, first, path, [part])
+
+
 @query("apilogs_incremental")
 def q_apilogs_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
-    first = merge.materialize(spark, incremental.apilogs_incremental(_before(t.api_calls, "call_time", API_T0), None),
-                              "apilogs")
-    return incremental.apilogs_incremental(t.api_calls, first)
+    first = incremental.apilogs_batch(_before(t.api_calls, "call_time", API_T0), None)
+    path, target = _stored(spark, first, "apilogs", "call_date")
+    batch = incremental.apilogs_batch(t.api_calls, target)
+    return merge.replace_in_partitions(spark, path, target.schema, batch, ["id"], "call_date")
 
 
 def _daily_first(spark, t):
-    first = incremental.daily_incremental(_before(t.games, "updated_at", BOX_T0),
-                                          _before(t.team_box, "updated_at", BOX_T0), None)
-    return merge.materialize(spark, first, "daily")
+    return _stored(spark, incremental.daily_batch(_before(t.games, "updated_at", BOX_T0),
+                                                  _before(t.team_box, "updated_at", BOX_T0), None), "daily", "game_date")
 
 
 @query("daily_incremental")
 def q_daily_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return incremental.daily_incremental(t.games, t.team_box, _daily_first(spark, t))
+    path, target = _daily_first(spark, t)
+    batch = incremental.daily_batch(t.games, t.team_box, target)
+    return merge.replace_in_partitions(spark, path, target.schema, batch, ["game_date"], "game_date")
+
+
+def _known(df, column: str, t0: str):
+    """The state of a source before ``t0`` when rows never stamped arrive later."""
+    return df.filter(F.col(column) < F.lit(t0).cast("timestamp_ntz"))
+
+
+def _moved(games, t0: str):
+    """The games known before ``t0``; every seventh then stood a day earlier and has moved since."""
+    known = _known(games, "updated_at", t0)
+    touched = games.filter(~(F.col("updated_at") < F.lit(t0).cast("timestamp_ntz")) | F.col("updated_at").isNull())
+    mark = touched.select("game_id").distinct().withColumn("_again", F.lit(True))
+    earlier = F.date_sub(F.col("game_date").cast("date"), 1).cast("string")
+    known = known.join(mark, "game_id", "left")
+    return known.withColumn("game_date", F.when(F.col("_again") & (F.col("id") % 7 == 0), earlier)
+                            .otherwise(F.col("game_date"))).drop("_again")
 
 
 @query("daily_affected_keys")
 def q_daily_affected_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return incremental.daily_affected_keys(t.games, t.team_box, _daily_first(spark, t), BOX_T0)
-
-
-def _gbs_first(spark, t):
-    first = incremental.gbs_incremental(_before(t.games, "updated_at", BOX_T0),
-                                        _before(t.team_box, "updated_at", BOX_T0),
-                                        _before(t.date_status, "last_checked", BOX_T0), None)
-    return merge.materialize(spark, first, "gbs")
+    games, box = _moved(t.games, BOX_T0), _known(t.team_box, "updated_at", BOX_T0)
+    path, target = _stored(spark, staging.stg_daily_game_summary(games, box), "daily", "game_date")
+    placed = games.select("game_id", F.col("game_date").cast("date").alias("game_date")).distinct()
+    fresh, days = incremental.daily_affected_keys(t.games, t.team_box, placed, BOX_T0)
+    return merge.replace_in_partitions(spark, path, target.schema, fresh, ["game_date"], "game_date", days)
 
 
 @query("gbs_incremental")
 def q_gbs_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return incremental.gbs_incremental(t.games, t.team_box, t.date_status, _gbs_first(spark, t))
+    first = incremental.gbs_batch(_before(t.games, "updated_at", BOX_T0), _before(t.team_box, "updated_at", BOX_T0),
+                                  _before(t.date_status, "last_checked", BOX_T0), None)
+    path, target = _stored(spark, first, "gbs", "game_date")
+    batch = incremental.gbs_batch(t.games, t.team_box, t.date_status, target)
+    return merge.replace_in_partitions(spark, path, target.schema, batch, ["game_date", "game_id"], "game_date")
 
 
 @query("gbs_affected_keys")
 def q_gbs_affected_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return incremental.gbs_affected_keys(t.games, t.team_box, t.date_status, _gbs_first(spark, t), BOX_T0)
+    first = staging.stg_game_boxscore_status(_moved(t.games, BOX_T0), _known(t.team_box, "updated_at", BOX_T0),
+                                             _known(t.date_status, "last_checked", BOX_T0))
+    path, target = _stored(spark, first, "gbs", "game_date")
+    fresh, gone = incremental.gbs_affected_keys(t.games, t.team_box, t.date_status, target, BOX_T0)
+    return merge.replace_in_partitions(spark, path, target.schema, fresh, ["game_date", "game_id"], "game_date", gone)
 
 
 @query("top20_incremental")
@@ -411,6 +440,23 @@ def q_dq_top20(spark, sf_dir):
     return checks.run_checks(LB.top20_by_metric(inputs(tables(spark, sf_dir)), PARAMS), checks.TOP20_RULES)
 
 
+@query("dq_api_call_logs")
+def q_dq_api_call_logs(spark, sf_dir):
+    return checks.run_checks(staging.stg_api_call_logs(tables(spark, sf_dir).api_calls), checks.API_LOG_RULES)
+
+
+@query("dq_daily_game_summary")
+def q_dq_daily_game_summary(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return checks.run_checks(staging.stg_daily_game_summary(t.games, t.team_box), checks.DAILY_SUMMARY_RULES)
+
+
+@query("dq_game_boxscore_status")
+def q_dq_game_boxscore_status(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    return checks.run_checks(staging.stg_game_boxscore_status(t.games, t.team_box, t.date_status), checks.BOX_STATUS_RULES)
+
+
 @query("dq_date_status")
 def q_dq_date_status(spark, sf_dir):
     return checks.run_checks(tables(spark, sf_dir).date_status, checks.DATE_STATUS_RULES)
@@ -435,36 +481,38 @@ def q_box_payload_quarantine(spark, sf_dir):
     return landing.quarantine(landing.box_landing(tables(spark, sf_dir)))
 
 
+from .streaming import streams  # noqa: E402
+
+
 @query("upsert_games")
 def q_upsert_games(spark, sf_dir):
+    """Target: the games dated before 2000 and those later ones that no response lists; batch: all
+    landed responses. Together they hold every game."""
     t = tables(spark, sf_dir)
-    split = landing.split_result_sets(landing.game_landing(t))
-    batch = landing.records_as_table(split, landing.GAME_RESULT_SET, "games").drop("id")
-    keys = ["season_id", "team_id", "game_id"]
-    batch = merge.latest_per_key(batch, keys, F.struct("updated_at", "wl"))
-    target = t.games.filter(F.col("game_date") < UPSERT_TARGET_BEFORE)
-    return merge.upsert(target, batch, keys)
+    listed = t.date_status.filter((F.col("status") != "no_games") & ~(
+        (F.col("status") == "pending") & (F.dayofmonth("date") % 2 == 0))).select(F.col("date").cast("string").alias("game_date"))
+    old, late = F.col("game_date") < UPSERT_TARGET_BEFORE, F.coalesce(F.col("game_date") >= UPSERT_TARGET_BEFORE, F.lit(True))
+    target = t.games.filter(old).unionByName(t.games.filter(late).join(listed, "game_date", "left_anti").select(*t.games.columns))
+    return streams.upsert_landed(target, landing.game_landing(t))
 
 
 @query("append_api_calls")
 def q_append_api_calls(spark, sf_dir):
+    """K4: the stored log, with a row appended for every landed game-list response."""
     t = tables(spark, sf_dir)
-    old = _before(t.api_calls, "call_time", API_T0)
-    new = t.api_calls.filter(F.col("call_time") >= F.lit(API_T0).cast("timestamp_ntz"))
-    return merge.append(old, new)
+    path = scratch_path(spark, "api-calls")
+    stored = merge.materialize_at(spark, t.api_calls, path)
+    top = stored.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
+    return merge.append_rows(spark, landing.log_rows(landing.game_landing(t), top), path, stored)
 
 
-# -- streaming (I1, I6): run the stream to the end, return the target table ---------------------
-from .streaming import streams  # noqa: E402
-
+# -- streaming (I1, I6): run the stream to the end, return the current table ---------------------
 
 @query("apilogs_stream")
 def q_apilogs_stream(spark, sf_dir):
     target, ckpt = scratch_path(spark, "apilogs-stream"), scratch_path(spark, "apilogs-stream-ckpt")
-    q = streams.api_log_stream(spark, sf_dir, target, ckpt, file_glob="events.parquet")
-    streams.run_to_end(q)
-    return spark.read.schema(streams.API_LOG_SCHEMA).parquet(target).select(
-        "id", "endpoint", "call_time", "call_date", "success", "error_message", "updated_at")
+    streams.run_to_end(streams.api_log_stream(spark, sf_dir, target, ckpt, file_glob="events.parquet"))
+    return streams.current_api_log(spark, target)
 
 
 @query("games_upsert_stream")
@@ -474,4 +522,4 @@ def q_games_upsert_stream(spark, sf_dir):
     landing.game_landing(t).write.mode("overwrite").parquet(land)
     target, ckpt = scratch_path(spark, "games-stream"), scratch_path(spark, "games-stream-ckpt")
     streams.run_to_end(streams.games_upsert_stream(spark, land, target, ckpt))
-    return spark.read.schema(streams.GAMES_TARGET_SCHEMA).parquet(target).drop("bucket")
+    return streams.current_games(spark, target)

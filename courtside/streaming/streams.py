@@ -1,55 +1,66 @@
 """Structured Streaming paths for the two ingest loops.
 
-* ``api_log_stream`` (I1): new API-call log files -> staged rows -> keyed replace by id.
-* ``games_upsert_stream`` (I6): landed game-list responses -> records -> upsert by
-  (season_id, team_id, game_id), last writer wins.
-
-Both use ``foreachBatch`` against a parquet target partitioned by a column that every
-version of a key shares (the call date; a hash bucket of the game id). A micro-batch
-rewrites only the partitions it touches (dynamic partition overwrite). The merged
-partitions are checkpointed to the shared checkpoint folder before the overwrite, so a
-lost executor recomputes from that copy, never from half-overwritten files. Stream
-progress lives in the query's checkpoint location; rerunning a batch id rewrites the same
-partitions with the same rows (idempotent).
+* ``api_log_stream`` (I1): new API-call log files -> staged rows -> one row per id.
+* ``games_upsert_stream`` (I6): landed game-list responses -> records -> one row per
+  (season_id, team_id, game_id), the last record to arrive wins.
+
+The target is a table of row versions. A micro-batch adds one folder, named by the stream and the
+batch, that holds the newest version of each of its keys, and touches nothing else: its cost
+follows the batch, not the table, and a repeated batch rewrites its own folder with the same rows.
+Readers (``current_api_log``, ``current_games``) take the newest version of each key over all
+batches, so the order in which files land does not matter. ``compact`` folds the versions into one
+folder.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge
+from ..operators.dedupe import keep_preferred
+from ..operators.ranking import global_row_number
 from ..plans import staging
-from ..session import ensure_checkpoint_dir
 from ..sources import landing, schemas
 
-GAME_BUCKETS = 64
 GAME_KEYS = schemas.TABLE_KEYS["games"]
+BATCH = T.StructField("batch", T.StringType())
+
+
+def _prepare(spark: SparkSession, path: str) -> None:
+    """Make the table's folder before the stream starts; an existing table is left as it is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
+def add_versions(batch: DataFrame, epoch_id: int, path: str, stream: str) -> None:
+    """Write a micro-batch into its own folder. A repeat of the same batch replaces that folder; batches
+    of other streams, or of a stream started anew, have other names."""
+    batch.write.mode("overwrite").parquet(f"{path}/batch={stream}-{epoch_id:09d}")
+
 
+def versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All stored versions; an empty table is no rows."""
+    return spark.read.schema(T.StructType([*schema.fields, BATCH])).parquet(path)
 
-def _target_exists(spark: SparkSession, path: str) -> bool:
-    jvm_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = jvm_path.getFileSystem(spark._jsc.hadoopConfiguration())
-    return fs.exists(jvm_path) and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(path + "/_SUCCESS"))
 
+def compact(spark: SparkSession, path: str, schema: T.StructType, keys: list[str], newest: list[Column], to: str) -> None:
+    """Write the newest version of each key as the only folder of a new table at ``to``."""
+    keep_preferred(versions(spark, path, schema), keys, newest).select(*schema.names) \
+        .write.mode("errorifexists").parquet(f"{to}/batch=compacted")
 
-def merge_partitions(spark: SparkSession, target_path: str, schema: T.StructType, batch: DataFrame,
-                     part_col: str, combine: Callable[[DataFrame, DataFrame], DataFrame]) -> None:
-    """Rewrite the partitions of ``target_path`` that ``batch`` touches with ``combine(old, batch)``."""
-    if not _target_exists(spark, target_path):
-        batch.select(*schema.fieldNames()).write.mode("overwrite").partitionBy(part_col).parquet(target_path)
-        return
-    touched = batch.select(part_col).distinct()
-    old = (spark.read.schema(schema).parquet(target_path)
-           .join(F.broadcast(touched), part_col, "left_semi"))  # one row per touched partition
-    merged = combine(old.select(*schema.fieldNames()), batch.select(*schema.fieldNames()))
-    ensure_checkpoint_dir(spark)
-    merged = merged.checkpoint(eager=True)
-    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(part_col).parquet(target_path))
+
+def _start(rows: DataFrame, keys: list[str], newest: list[Column], path: str, checkpoint: str):
+    _prepare(rows.sparkSession, path)
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        # The stream's id lives in its checkpoint: the same after a restart, another with a new one.
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        add_versions(keep_preferred(batch, keys, newest).select(*batch.columns), epoch_id, path, stream)
+
+    return (rows.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
 
 
 # -- I1: API call log ---------------------------------------------------------------------------
@@ -70,12 +81,17 @@ def api_calls_from_events(events: DataFrame) -> DataFrame:
 
 API_LOG_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()), T.StructField("endpoint", T.StringType()),
-    T.StructField("call_time", T.TimestampNTZType()), T.StructField("success", T.BooleanType()),
-    T.StructField("error_message", T.StringType()), T.StructField("updated_at", T.TimestampNTZType()),
-    T.StructField("call_date", T.DateType()),
+    T.StructField("call_time", T.TimestampNTZType()), T.StructField("call_date", T.DateType()),
+    T.StructField("success", T.BooleanType()), T.StructField("error_message", T.StringType()),
+    T.StructField("updated_at", T.TimestampNTZType()),
 ])
 
 
+def _newest_call() -> list[Column]:
+    """The newest stamp; rows with equal stamps differ in nothing but their text."""
+    return [F.col("updated_at").desc_nulls_last(), F.struct("endpoint", "success", "error_message").desc()]
+
+
 def api_log_stream(spark: SparkSession, source: str, target_path: str, checkpoint: str,
                    max_files_per_trigger: int | None = None, file_glob: str | None = None):
     """Start the I1 stream with ``availableNow`` (process what has landed, then stop).
@@ -87,24 +103,32 @@ def api_log_stream(spark: SparkSession, source: str, target_path: str, checkpoin
         reader = reader.option("pathGlobFilter", file_glob)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    staged = staging.stg_api_call_logs(api_calls_from_events(reader.parquet(source)))
+    staged = staging.stg_api_call_logs(api_calls_from_events(reader.parquet(source))).select(*API_LOG_SCHEMA.names)
+    return _start(staged, ["id"], _newest_call(), target_path, checkpoint)
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
-        batch = merge.latest_per_key(batch, ["id"], F.struct("updated_at"))
-        merge_partitions(spark, target_path, API_LOG_SCHEMA, batch, "call_date",
-                         lambda old, new: merge.keyed_replace(old, new, ["id"]))
 
-    return (staged.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+def current_api_log(spark: SparkSession, path: str) -> DataFrame:
+    """One row per call id, the newest version."""
+    found = versions(spark, path, API_LOG_SCHEMA)
+    return keep_preferred(found, ["id"], [*_newest_call(), F.col("batch").desc()]).select(*API_LOG_SCHEMA.names)
 
 
 # -- I6: games upsert ---------------------------------------------------------------------------
 
-GAMES_TARGET_SCHEMA = T.StructType([*schemas.GAMES.fields, T.StructField("bucket", T.IntegerType())])
+ARRIVAL = T.StructField("arrival", T.StructType([
+    T.StructField("fetched_at", T.TimestampNTZType()), T.StructField("request_key", T.StringType()),
+    T.StructField("position", T.IntegerType())]))
+GAME_VERSION_SCHEMA = T.StructType([*[f for f in schemas.GAMES.fields if f.name != "id"], ARRIVAL])
+
+
+def last_arrival() -> list[Column]:
+    return [F.col("arrival").desc_nulls_last()]
 
 
-def _bucket() -> F.Column:
-    return F.pmod(F.xxhash64("game_id"), F.lit(GAME_BUCKETS)).cast("int")
+def game_records(responses: DataFrame) -> DataFrame:
+    """The game rows of landed responses, with the order of their arrival."""
+    split = landing.split_result_sets(responses.filter(F.col("endpoint") == landing.GAME_ENDPOINT))
+    return landing.records_as_table(split, landing.GAME_RESULT_SET, "games", arrival=True).select(*GAME_VERSION_SCHEMA.names)
 
 
 def games_upsert_stream(spark: SparkSession, source: str, target_path: str, checkpoint: str,
@@ -113,28 +137,19 @@ def games_upsert_stream(spark: SparkSession, source: str, target_path: str, chec
     reader = spark.readStream.schema(schemas.LANDING)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    responses = reader.parquet(source).filter(F.col("endpoint") == landing.GAME_ENDPOINT)
-    split = landing.split_result_sets(responses)
-    records = landing.records_as_table(split, landing.GAME_RESULT_SET, "games").drop("id")
+    return _start(game_records(reader.parquet(source)), GAME_KEYS, last_arrival(), target_path, checkpoint)
 
-    def each(batch: DataFrame, epoch_id: int) -> None:
-        batch = merge.latest_per_key(batch, GAME_KEYS, F.struct("updated_at", "wl")).withColumn("bucket", _bucket())
-
-        def combine(old: DataFrame, new: DataFrame) -> DataFrame:
-            # New ids continue after the largest id of the whole table, not of the touched buckets.
-            floor = spark.read.schema(GAMES_TARGET_SCHEMA).parquet(target_path).select(
-                F.coalesce(F.max("id"), F.lit(0))).scalar()
-            return merge.upsert(old, new.drop("id"), GAME_KEYS, id_floor=floor)
-
-        if not _target_exists(spark, target_path):
-            first = merge.upsert(spark.createDataFrame([], GAMES_TARGET_SCHEMA), batch, GAME_KEYS)
-            first.write.mode("overwrite").partitionBy("bucket").parquet(target_path)
-            return
-        merge_partitions(spark, target_path, GAMES_TARGET_SCHEMA, batch.withColumn("id", F.lit(None).cast("bigint")),
-                         "bucket", combine)
-
-    return (records.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+
+def current_games(spark: SparkSession, path: str) -> DataFrame:
+    """The games table: the last record of each key to arrive, numbered by key."""
+    found = keep_preferred(versions(spark, path, GAME_VERSION_SCHEMA), GAME_KEYS, last_arrival())
+    return global_row_number(found.drop("arrival", "batch"), GAME_KEYS, "id").select(*schemas.GAMES.names)
+
+
+def upsert_landed(target: DataFrame, responses: DataFrame) -> DataFrame:
+    """Batch form of the upsert: the last record of each key to arrive, merged into ``target``."""
+    batch = keep_preferred(game_records(responses), GAME_KEYS, last_arrival()).drop("arrival")
+    return merge.upsert(target, batch, GAME_KEYS)
 
 
 def run_to_end(query) -> None:

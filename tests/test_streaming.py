@@ -1,8 +1,10 @@
 """The same landed files give the same table in one micro-batch and in many."""
 
+import datetime as dt
+import json
 import tempfile
 
-from pyspark.sql import functions as F
+import pytest
 
 from courtside.plans import staging
 from courtside.registry import tables
@@ -24,7 +26,7 @@ def test_api_log_stream_one_vs_many_batches(spark, sf_dir):
     for per_trigger in (None, 1):
         tgt, ck = tempfile.mkdtemp(prefix="cs-t-") + "/t", tempfile.mkdtemp(prefix="cs-c-")
         streams.run_to_end(streams.api_log_stream(spark, src, tgt, ck, max_files_per_trigger=per_trigger))
-        got = spark.read.schema(streams.API_LOG_SCHEMA).parquet(tgt).select(
+        got = streams.current_api_log(spark, tgt).select(
             "id", "endpoint", "call_time", "call_date", "success", "error_message", "updated_at")
         assert rows(got, ["id"]) == expect
 
@@ -37,9 +39,57 @@ def test_games_upsert_stream_one_vs_many_batches(spark, sf_dir):
     for per_trigger in (None, 1):
         tgt, ck = tempfile.mkdtemp(prefix="cs-t-") + "/t", tempfile.mkdtemp(prefix="cs-c-")
         streams.run_to_end(streams.games_upsert_stream(spark, src, tgt, ck, max_files_per_trigger=per_trigger))
-        got = spark.read.schema(streams.GAMES_TARGET_SCHEMA).parquet(tgt).drop("bucket", "id")
-        results.append(rows(got, ["season_id", "team_id", "game_id"]))
-        ids = spark.read.schema(streams.GAMES_TARGET_SCHEMA).parquet(tgt).agg(
-            F.count("id"), F.count_distinct("id")).first()
-        assert ids[0] == ids[1]  # new ids never collide across micro-batches
-    assert results[0] == results[1]
+        results.append(rows(streams.current_games(spark, tgt), ["id"]))
+    assert results[0] == results[1] and len({r["id"] for r in results[0]}) == len(results[0])
+
+
+LANDING = "endpoint string, request_key string, payload string, fetched_at timestamp_ntz"
+
+
+def _game_file(spark, folder, gid, wl, day):
+    rec = {"SEASON_ID": "22024", "TEAM_ID": 7, "GAME_ID": gid, "GAME_DATE": "2024-11-01", "WL": wl}
+    at = dt.datetime.fromisoformat(day)
+    spark.createDataFrame([("LeagueGameFinder", "2024-11-01", json.dumps({"LeagueGameFinderResults": [rec]}), at)], LANDING) \
+        .coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.mark.parametrize("marker", ["true", "false"])
+def test_later_batches_keep_earlier_games(spark, tmp_path, marker):
+    """With or without marker files, and with a checkpoint lost in between."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", marker)
+    try:
+        src, tgt = f"file://{tmp_path}/src", f"file://{tmp_path}/t"
+        for k, gid in enumerate(["g1", "g2", "g3"]):
+            _game_file(spark, src, gid, "W", "2024-11-03")
+            streams.run_to_end(streams.games_upsert_stream(spark, src, tgt, f"file://{tmp_path}/c{k // 2}"))
+            assert {r["game_id"] for r in streams.current_games(spark, tgt).collect()} == {"g1", "g2", "g3"} - {"g3", "g2"} \
+                if k == 0 else streams.current_games(spark, tgt).count() == k + 1
+    finally:
+        conf.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+
+
+@pytest.mark.parametrize("order", [("2024-11-02", "2024-11-03"), ("2024-11-03", "2024-11-02")])
+@pytest.mark.parametrize("batches", [1, 2])
+def test_newest_response_wins_however_files_land(spark, tmp_path, order, batches):
+    src, tgt, ck = (f"file://{tmp_path}/{x}" for x in "stc")
+    for day in order:
+        _game_file(spark, src, "g1", "W" if day.endswith("3") else "L", day)
+        if batches == 2:
+            streams.run_to_end(streams.games_upsert_stream(spark, src, tgt, ck))
+    if batches == 1:
+        streams.run_to_end(streams.games_upsert_stream(spark, src, tgt, ck))
+    assert [(r["game_id"], r["wl"]) for r in streams.current_games(spark, tgt).collect()] == [("g1", "W")]
+
+
+def test_restated_call_keeps_one_row(spark, tmp_path):
+    src, tgt, ck = (f"file://{tmp_path}/{x}" for x in "stc")
+    for day, kind in (("2024-01-01", "view"), ("2024-01-02", "error")):
+        spark.createDataFrame([(1, dt.datetime.fromisoformat(day), 1, kind, 0.5, "late")], streams.EVENTS_SCHEMA) \
+            .coalesce(1).write.mode("append").parquet(src)
+        streams.run_to_end(streams.api_log_stream(spark, src, tgt, ck))
+    got = streams.current_api_log(spark, tgt).collect()
+    assert [(r["id"], str(r["call_date"]), r["error_message"]) for r in got] == [(1, "2024-01-02", "late")]
+    assert streams.versions(spark, tgt, streams.API_LOG_SCHEMA).count() == 2
+    streams.compact(spark, tgt, streams.API_LOG_SCHEMA, ["id"], streams._newest_call(), f"file://{tmp_path}/small")
+    assert streams.current_api_log(spark, f"file://{tmp_path}/small").collect() == got

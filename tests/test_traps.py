@@ -223,11 +223,137 @@ def test_t7_box_after_game_faithful_drifts_affected_keys_does_not(spark):
     st = make(spark, "date_status", [{"date": dt.date.fromisoformat(d), "status": "processed",
                                       "last_checked": ts("2024-10-01 00:00:00"), "retry_count": 0} for d in (D1, D2)])
     box_before, box_now = make(spark, "team_box", []), make(spark, "team_box", [box_late])
-    first = incremental.gbs_incremental(games, box_before, st, None)
-    faithful = {r["game_id"]: r["has_boxscore"] for r in incremental.gbs_incremental(games, box_now, st, first).collect()}
+    first = merge.materialize(spark, incremental.gbs_batch(games, box_before, st, None), "first")
+    batch = incremental.gbs_batch(games, box_now, st, first)
+    faithful = {r["game_id"]: r["has_boxscore"] for r in
+                merge.keyed_replace(first, batch, ["game_date", "game_id"]).collect()}
+    fresh, gone = incremental.gbs_affected_keys(games, box_now, st, first, t0)
     affected = {r["game_id"]: r["has_boxscore"] for r in
-                incremental.gbs_affected_keys(games, box_now, st, first, t0).collect()}
+                merge.keyed_replace(first, fresh, ["game_date", "game_id"], gone).collect()}
     full = {r["game_id"]: r["has_boxscore"] for r in staging.stg_game_boxscore_status(games, box_now, st).collect()}
     assert full == {"g1": True, "g2": False}
     assert faithful["g1"] is False  # g1's stamp is below the mark, so its late box never joins
     assert affected == full
+
+
+@pytest.mark.parametrize("stamp", ["2024-11-20 00:00:00", None])
+def test_affected_keys_follow_moved_and_unstamped_games(spark, tmp_path, stamp):
+    """g1 moves from 1 to 5 November; g3 is new. Their rows are stamped after the mark, or not at all."""
+    from courtside.plans import incremental
+    t0 = "2024-11-10 00:00:00"
+    old = make(spark, "games", [game("g1", date="2024-11-01", id_=1), game("g2", date="2024-11-02", id_=2)])
+    new = make(spark, "games", [game("g1", date="2024-11-05", stamp=stamp, id_=1), game("g2", date="2024-11-02", id_=2),
+                                game("g3", date="2024-11-11", stamp=stamp, id_=3)])
+    box = make(spark, "team_box", [{"id": 1, "game_id": "g1", "team_id": 1, "updated_at": ts("2024-11-03 00:00:00")}])
+    st = make(spark, "date_status", [])
+    daily = staging.stg_daily_game_summary(old, box)
+    status_ = staging.stg_game_boxscore_status(old, box, st)
+    for name, first, keys, refreshed, full in (
+            ("daily", daily, ["game_date"], lambda: incremental.daily_affected_keys(new, box, status_, t0),
+             staging.stg_daily_game_summary(new, box)),
+            ("gbs", status_, ["game_date", "game_id"], lambda: incremental.gbs_affected_keys(new, box, st, status_, t0),
+             staging.stg_game_boxscore_status(new, box, st))):
+        path = f"file://{tmp_path}/{name}"
+        target = merge.materialize_at(spark, first, path, ["game_date"])
+        fresh, gone = refreshed()
+        stored = merge.replace_in_partitions(spark, path, target.schema, fresh, keys, "game_date", gone)
+        assert rows(stored) == rows(full) and {str(r["game_date"]) for r in rows(full)} == {"2024-11-02", "2024-11-05", "2024-11-11"}
+
+
+def test_only_touched_partitions_are_written(spark, tmp_path):
+    path = f"file://{tmp_path}/t"
+    first = spark.createDataFrame([(k, f"2024-11-0{k % 3 + 1}", "old") for k in range(9)], "id int, day string, v string")
+    target = merge.materialize_at(spark, first, path, ["day"])
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/day=*/*.parquet")}
+    batch = spark.createDataFrame([(3, "2024-11-02", "new"), (20, "2024-11-09", "new")], "id int, day string, v string")
+    out = merge.replace_in_partitions(spark, path, target.schema, batch, ["id"], "day")
+    assert sorted((r["id"], r["day"], r["v"]) for r in out.collect() if r["v"] == "new") == [
+        (3, "2024-11-02", "new"), (20, "2024-11-09", "new")]
+    assert out.count() == 10 and out.select("id").distinct().count() == 10
+    after = {p: p.stat().st_mtime_ns for p in tmp_path.glob("t/day=*/*.parquet")}
+    assert {p for p in before if p in after} == {p for p in before if "2024-11-03" in str(p)}
+    wider = batch.withColumn("extra", F.lit(1))
+    with pytest.raises(drift.SchemaDriftError):
+        merge.replace_in_partitions(spark, path, target.schema, wider, ["id"], "day")
+    with pytest.raises(drift.SchemaDriftError):
+        merge.keyed_replace(first, wider, ["id"])
+    assert merge.keyed_replace(first, wider, ["id"], policy="sync_all_columns").columns == wider.columns
+
+
+def responses(spark, *found):
+    return spark.createDataFrame([("LeagueGameFinder", day, payload, ts(at)) for day, payload, at in found],
+                                 "endpoint string, request_key string, payload string, fetched_at timestamp_ntz")
+
+
+def record(wl, gid="g1", date=D1):
+    return ('{"SEASON_ID": "22024", "TEAM_ID": 7, "GAME_ID": "%s", "GAME_DATE": "%s", "WL": %s}'
+            % (gid, date, "null" if wl is None else f'"{wl}"'))
+
+
+def test_upsert_last_record_in_the_list_wins(spark):
+    from courtside.streaming import streams
+    both = '{"LeagueGameFinderResults": [%s, %s]}' % (record("W"), record("L"))
+    target = make(spark, "games", [{**game("g1", team=7, id_=5), "wl": "W"}, game("g9", team=9, id_=8)])
+    out = {r["game_id"]: (r["id"], r["wl"]) for r in
+           streams.upsert_landed(target, responses(spark, (D1, both, "2024-11-02 00:00:00"))).collect()}
+    assert out == {"g1": (5, "L"), "g9": (8, None)}
+
+
+def test_upsert_reads_the_target_once(spark, tmp_path):
+    path = f"file://{tmp_path}/games"
+    make(spark, "games", [game("g1", team=7, id_=5)]).write.parquet(path)
+    target = spark.read.parquet(path)
+    batch = make(spark, "games", [game("g1", team=7, id_=0), game("g2", team=7, id_=0)]).drop("id")
+    merged = merge.upsert(target, batch, ["season_id", "team_id", "game_id"], id_col=None)
+    assert merged._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+    out = merge.upsert(target, batch, ["season_id", "team_id", "game_id"])
+    assert {r["game_id"]: r["id"] for r in out.collect()} == {"g1": 5, "g2": 6}
+
+
+def test_null_result_sets_are_quarantined(spark):
+    box = spark.createDataFrame([("BoxScoreTraditionalV2", k, p, None) for k, p in (
+        ("1", '{"PlayerStats": null}'), ("2", "{}"), ("3", '{"PlayerStats": [], "TeamStats": null}'), ("4", None),
+        ("5", '{"PlayerStats": null, "TeamStats": [{"GAME_ID": "5"}]}'))],
+        "endpoint string, request_key string, payload string, fetched_at timestamp_ntz")
+    assert {r["request_key"]: r["reason"] for r in landing.quarantine(box).collect()} == {
+        "1": "empty payload", "2": "empty payload", "3": "empty payload", "4": "unreadable or missing payload"}
+    days = responses(spark, (D1, '{"LeagueGameFinderResults": null}', "2024-11-02 00:00:00"))
+    assert landing.date_outcomes(days).first()["outcome"] == "no_games"
+
+
+def test_w2_unknown_season_is_like_an_unofficial_one(spark):
+    from courtside.operators.dedupe import canonical_games
+    g = make(spark, "games", [game("g1", season="12024", stamp="2024-11-03 00:00:00", id_=1),
+                              game("g1", season=None, stamp="2024-11-09 00:00:00", id_=2)])
+    assert canonical_games(g).first()["season_id"] is None
+    tie = make(spark, "games", [game("g1", date=D1, id_=1), game("g1", date=D2, team=2, id_=2)])
+    assert canonical_games(tie).first()["game_date"] == D2
+
+
+def test_log_rows(spark):
+    found = landing.log_rows(responses(spark, (D1, None, "2024-11-03 00:00:00"), (D2, "{}", "2024-11-02 00:00:00")), F.lit(40))
+    assert [(r["id"], r["success"], r["error_message"]) for r in rows(found, ["id"])] == [
+        (41, True, None), (42, False, f"no payload for {D1}")]
+
+
+def test_date_range_reaches_the_scan_of_a_raw_table(spark, tmp_path):
+    from courtside.sources.tables import read_raw
+    make(spark, "games", [game("g1", date=D1), game("g2", date="2024-12-24", id_=2)]).write.parquet(f"file://{tmp_path}/g")
+    out = backlog.games_in_date_range(read_raw(spark, f"file://{tmp_path}/g", "games"), D1, D2, league_prefix="g")
+    assert [r["game_id"] for r in out.collect()] == ["g1"]
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    plan = out.select("game_id")._jdf.queryExecution().executedPlan().toString()
+    assert f"GreaterThanOrEqual(game_date,{D1})" in plan and f"LessThanOrEqual(game_date,{D2})" in plan
+
+
+def test_views(spark):
+    from courtside.sources.tables import register_views
+    register_views({"stg_gamefinder_v": staging.stg_gamefinder(make(spark, "games", [game("g1")]))})
+    assert spark.sql("SELECT count(*) FROM stg_gamefinder_v").first()[0] == 1
+
+
+def test_box_status_key_check_shows_trap_t8(spark):
+    games = make(spark, "games", [game("g1", id_=1), game("g1", team=2, stamp="2024-11-04 00:00:00", id_=2), game("g2", id_=3)])
+    box, st = make(spark, "team_box", []), make(spark, "date_status", [])
+    found = checks.run_checks(staging.stg_game_boxscore_status(games, box, st), checks.BOX_STATUS_RULES)
+    assert {r["rule"]: r["failures"] for r in found.collect()} == {"not_null": 0, "unique_combination": 1}
