@@ -10,10 +10,11 @@ Three interchangeable forms compute the aggregates (all give the same rows):
                  window filter after the aggregate. Reference form; grows as games x cutoffs.
 * ``windowed`` - the window ``[latest - max(365, N), latest + N]`` is applied to
                  (season, cutoff) pairs before touching game rows (rewrite R1), and the
-                 pairs are joined on season (broadcast, size checked).
+                 pairs are joined on season.
 * ``running``  - (default) aggregate once per (season, player, date), take running
-                 totals over the player's dates, and join each cutoff to the one date
-                 interval it falls in (rewrite R2). Rows become players x cutoffs.
+                 totals over the player's dates, and look up the cutoffs that each date
+                 interval holds in the season's calendar (rewrite R2). Rows become
+                 players x cutoffs. No job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -25,7 +26,6 @@ from pyspark.sql import functions as F
 
 from ..functions import expressions as X
 from ..operators.dedupe import canonical_games, canonical_player_box
-from ..operators.joins import DEFAULT_MAX_BROADCAST_ROWS, Dimension, cut_lineage, dimension, join_dimension
 from ..operators.ranking import top_k_per_group
 
 # ---------------------------------------------------------------------------------------------
@@ -62,7 +62,8 @@ class Params:
 
     def stamp(self) -> Column:
         if self.as_of is None:
-            return F.localtimestamp()
+            # The clock in UTC, whatever the session's zone (trap T2).
+            return F.to_timestamp_ntz(F.date_format(F.convert_timezone(None, F.lit("UTC"), F.localtimestamp()), "yyyy-MM-dd HH:mm:ss"))
         return F.lit(self.as_of).cast("timestamp_ntz")
 
 
@@ -103,29 +104,39 @@ def season_latest_dates(games_canon: DataFrame) -> DataFrame:
             .select("season_id", F.to_date("latest_text", "yyyy-MM-dd").alias("latest_season_game_date")))
 
 
-def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame | Dimension) -> DataFrame:
+def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame) -> DataFrame:
     g = games_canon.select("game_id", "season_id", F.to_date("game_date", "yyyy-MM-dd").alias("game_date"))
-    j = facts.join(g, "game_id")
-    # Seasons are phase digit x year: a small dimension, broadcast after a size check.
-    return join_dimension(j, latest, "season_id")
+    # Season and game ride along on the games, which are fewer than the player lines.
+    return facts.join(g.join(latest, "season_id"), "game_id")
 
 
-def season_cutoffs(cutoffs: DataFrame, latest: DataFrame | Dimension, p: Params) -> Dimension:
+def season_days(latest: DataFrame, first: Column, last: Column) -> DataFrame:
+    """``(season_id, latest_season_game_date, cutoff_date)`` for every calendar day from ``first`` to ``last``."""
+    return latest.select("season_id", "latest_season_game_date",
+                         F.explode(F.when(last >= first, F.sequence(first, last))).alias("cutoff_date"))
+
+
+def season_cutoffs(cutoffs: DataFrame, latest: DataFrame, p: Params) -> DataFrame:
     """(season, cutoff) pairs kept by the final filter: ``latest - max(365, N) <= cutoff <= latest + N``.
 
     Built without a cross join: each season expands to the at most ``max(365, N) + N + 1``
-    calendar days of its window, then meets the cutoff dates on an equi-join.
+    calendar days of its window, then meets the cutoff dates on an equi-join. Seasons and days are
+    few; the planner sees their size at run time and broadcasts them.
     """
-    latest = dimension(latest)
-    days = latest.df.select(
-        "season_id", "latest_season_game_date",
-        F.explode(F.sequence(F.date_sub("latest_season_game_date", p.lookback_days),
-                             F.date_add("latest_season_game_date", p.recency_days))).alias("cutoff_date"))
-    # The expansion has at most (counted seasons) x (window days) rows: a bound known without a
-    # job, so the cutoff scan streams past the broadcast days. The pairs are materialized once.
-    bound = latest.rows * (p.lookback_days + p.recency_days + 1)
-    pairs = join_dimension(cutoffs, days, "cutoff_date", checked=bound <= DEFAULT_MAX_BROADCAST_ROWS)
-    return dimension(pairs.select("season_id", "latest_season_game_date", "cutoff_date"))
+    d = F.col("latest_season_game_date")
+    days = season_days(latest, F.date_sub(d, p.lookback_days), F.date_add(d, p.recency_days))
+    return days.join(cutoffs, "cutoff_date").select("season_id", "latest_season_game_date", "cutoff_date")
+
+
+def season_calendar(pairs: DataFrame) -> DataFrame:
+    """Per season its cutoffs in order (calendar-bounded), the first and the last of them, and for each
+    day between those how many cutoffs lie before it."""
+    c = pairs.groupBy("season_id").agg(F.sort_array(F.collect_set("cutoff_date")).alias("cutoffs"))
+    c = c.select("season_id", "cutoffs", F.get("cutoffs", F.lit(0)).alias("first_cutoff"),
+                 F.element_at("cutoffs", -1).alias("last_cutoff"))
+    return c.withColumn("before", F.transform(
+        F.sequence(F.lit(0), F.date_diff("last_cutoff", "first_cutoff")),
+        lambda k: F.size(F.filter("cutoffs", lambda x: F.date_diff(x, "first_cutoff") < k))))
 
 
 # -- aggregate forms --------------------------------------------------------------------------
@@ -172,23 +183,27 @@ def _finish(grouped: DataFrame) -> DataFrame:
     )
 
 
-def aggregates_direct(pgm: DataFrame, cutoffs: DataFrame, p: Params) -> DataFrame:
-    """Reference form: all (game row, cutoff) pairs passing the OR window; final filter afterwards."""
-    latest = F.col("latest_season_game_date")
-    cond = ((F.col("game_date") <= F.col("cutoff_date"))
-            & ((F.col("cutoff_date") >= F.date_sub(latest, p.recency_days))
-               | F.col("cutoff_date").between(F.date_sub(latest, SEASON_WINDOW_DAYS), F.date_sub(latest, 1))))
-    scoped = join_dimension(pgm, cutoffs, cond, "inner")
-    grouped = scoped.groupBy("cutoff_date", "season_id", "player_id").agg(*_group_aggs())
-    out = _finish(grouped)
-    return out.filter(F.col("latest_season_game_date") >= F.date_sub("cutoff_date", p.recency_days))
+def aggregates_direct(pgm: DataFrame, cutoffs: DataFrame, latest: DataFrame, p: Params) -> DataFrame:
+    """Reference form: all (game row, cutoff) pairs passing the OR window; final filter afterwards.
+
+    The window depends on the season alone, so each season first meets the cutoffs from a year
+    before its latest date to the last one of all; no pair outside it is formed.
+    """
+    d = F.col("latest_season_game_date")
+    end = cutoffs.select(F.max("cutoff_date")).scalar()
+    days = season_days(latest, F.date_sub(d, max(SEASON_WINDOW_DAYS, p.recency_days)), end)
+    in_window = ((F.col("cutoff_date") >= F.date_sub(d, p.recency_days))
+                 | F.col("cutoff_date").between(F.date_sub(d, SEASON_WINDOW_DAYS), F.date_sub(d, 1)))
+    pairs = days.filter(in_window).join(cutoffs, "cutoff_date")
+    grouped = scoped_player_games(pgm, pairs).groupBy("cutoff_date", "season_id", "player_id").agg(*_group_aggs())
+    return _finish(grouped).filter(F.col("latest_season_game_date") >= F.date_sub("cutoff_date", p.recency_days))
 
 
 def scoped_player_games(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     """Game rows of each kept (cutoff, season): same season, played on or before the cutoff."""
     pairs = pairs.select(F.col("season_id").alias("p_season"), "cutoff_date")
     cond = (F.col("season_id") == F.col("p_season")) & (F.col("game_date") <= F.col("cutoff_date"))
-    return join_dimension(pgm, pairs, cond, "inner").drop("p_season")
+    return pgm.join(pairs, cond).drop("p_season")
 
 
 def aggregates_windowed(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -198,7 +213,9 @@ def aggregates_windowed(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     """Rewrite R2. Valid because (game, player) is unique after dedupe and each game has one
-    season, so games played = number of rows."""
+    season, so games played = number of rows. A player's totals as of a date hold for the cutoffs
+    from that date to the day before the next one: their places in the season's calendar are looked
+    up by day, so only cutoffs that are hit are formed."""
     daily = pgm.groupBy("season_id", "player_id", "game_date").agg(*_group_aggs())
     # At most one row per calendar day of a season per player: the window never holds more
     # than a season's worth of dates, whatever the skew of players or teams.
@@ -211,12 +228,16 @@ def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
         F.lead("game_date").over(w).alias("next_date"),
         F.min("player_name").over(run).alias("player_name"),
         *[F.sum(c).over(run).alias(c) for c in additive],
-    )
-    pairs = pairs.select(F.col("season_id").alias("p_season"), "cutoff_date")
-    cond = ((F.col("season_id") == F.col("p_season"))
-            & (F.col("cutoff_date") >= F.col("game_date"))
-            & (F.col("next_date").isNull() | (F.col("cutoff_date") < F.col("next_date"))))
-    j = join_dimension(running, pairs, cond, "inner").drop("p_season")
+    ).filter("game_date IS NOT NULL")
+
+    def place(day: str) -> Column:
+        """How many cutoffs of the season lie before a day."""
+        return (F.when(F.col(day) <= F.col("first_cutoff"), 0).when(F.col(day) > F.col("last_cutoff"), F.size("cutoffs"))
+                .otherwise(F.get("before", F.date_diff(day, "first_cutoff"))))
+
+    j = running.join(season_calendar(pairs), "season_id")
+    begin, end = place("game_date"), F.when(F.col("next_date").isNull(), F.size("cutoffs")).otherwise(place("next_date"))
+    j = j.withColumn("cutoff_date", F.explode(F.slice("cutoffs", begin + 1, end - begin)))
     return _finish(j.withColumnRenamed("game_date", "last_date"))
 
 
@@ -248,25 +269,18 @@ class Inputs:
     date_status: DataFrame
 
 
-def build_meta(inp: Inputs, seasons_in_play: Dimension | None = None,
-               latest: Dimension | None = None,
-               games_canon: DataFrame | None = None) -> tuple[DataFrame, Dimension]:
-    """Facts joined to canonical game metadata. With ``seasons_in_play`` only games of those
-    seasons meet the player facts (the season choice itself still sees every game row)."""
-    games_canon = games_canon if games_canon is not None else canonical_games(inp.games)
-    # One row per season, computed once and shared by the metadata join and the cutoff pairs.
-    latest = latest or dimension(season_latest_dates(games_canon))
+def build_meta(inp: Inputs, seasons_in_play: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """Facts joined to canonical game metadata, and the seasons' latest dates. With ``seasons_in_play``
+    only games of those seasons meet the player facts (the season choice itself still sees every
+    game row): player lines of other games cannot reach the output, and every version of a (game,
+    player) shares its game id, so they are left out before the dedupe."""
+    games_canon = canonical_games(inp.games)
+    latest = season_latest_dates(games_canon)
     player_box = inp.player_box
     if seasons_in_play is not None:
-        games_canon = join_dimension(games_canon, seasons_in_play, "season_id", "left_semi")
-        # Player lines of other games cannot reach the output, and every version of a
-        # (game, player) shares its game id, so they are dropped before the dedupe - when the
-        # in-play game ids pass the broadcast size check; otherwise the fact join drops them.
-        ids = dimension(games_canon.select("game_id"))
-        if ids.small:
-            player_box = join_dimension(player_box, ids, "game_id", "left_semi")
-    facts = player_game_facts(player_box)
-    return player_games_with_meta(facts, games_canon, latest), latest
+        games_canon = games_canon.join(seasons_in_play, "season_id", "left_semi")
+        player_box = player_box.join(games_canon.select("game_id"), "game_id", "left_semi")
+    return player_games_with_meta(player_game_facts(player_box), games_canon, latest), latest
 
 
 def stg_status(date_status: DataFrame) -> DataFrame:
@@ -278,18 +292,14 @@ def player_aggregates(inp: Inputs, p: Params, form: str = "running",
                       existing: DataFrame | None = None, prune_seasons: bool = True) -> DataFrame:
     cutoffs = processed_cutoffs(stg_status(inp.date_status), p.start_date, existing)
     if form == "direct":
-        pgm, _ = build_meta(inp)
-        return aggregates_direct(pgm, cutoffs, p)
-    # One row per game, deduplicated once; the season dates and the fact join both read it.
-    games_canon = cut_lineage(canonical_games(inp.games))
-    latest = dimension(season_latest_dates(games_canon))
-    pairs = season_cutoffs(cutoffs, latest, p)
+        pgm, latest = build_meta(inp)
+        return aggregates_direct(pgm, cutoffs, latest, p)
+    pairs = season_cutoffs(cutoffs, season_latest_dates(canonical_games(inp.games)), p)
     # Only seasons whose snapshot window holds a cutoff can reach the output: the running form
     # prunes the game history to them before the fact join, so a daily run aggregates recent
     # seasons only (the windowed form's pair join already drops the rest).
-    in_play = (pairs.select("season_id").distinct_bounded()
-               if prune_seasons and form == "running" else None)
-    pgm, _ = build_meta(inp, in_play, latest, games_canon)
+    in_play = pairs.select("season_id").distinct() if prune_seasons and form == "running" else None
+    pgm, _ = build_meta(inp, in_play)
     if form == "windowed":
         return aggregates_windowed(pgm, pairs)
     if form == "running":
@@ -318,9 +328,3 @@ def top20_by_metric(inp: Inputs, p: Params = Params(), form: str = "running",
     if sort_output:
         out = out.orderBy("cutoff_date", "season_id", "metric_name", "rank")
     return out
-
-
-def top20_incremental(inp: Inputs, target: DataFrame, p: Params = Params(), form: str = "running") -> DataFrame:
-    """I4: append snapshots for processed dates the target does not hold yet."""
-    new = top20_by_metric(inp, p, form, existing=target)
-    return target.unionByName(new)

@@ -1,5 +1,8 @@
 """Plan-shape guards for the scale properties the design relies on."""
 
+import datetime as dt
+
+import pytest
 from pyspark.sql import functions as F
 
 from courtside.operators import dedupe
@@ -32,7 +35,29 @@ def test_dedupe_collapses_keys_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_leaderboard_rank_has_partial_top_k_and_no_cross_join(spark, sf_dir):
-    plan = _plan(LB.top20_by_metric(inputs(tables(spark, sf_dir)), PARAMS))
+@pytest.mark.parametrize("form", ["running", "windowed", "direct"])
+def test_leaderboard_rank_has_partial_top_k_and_no_cross_join(spark, sf_dir, form):
+    plan = _plan(LB.top20_by_metric(inputs(tables(spark, sf_dir)), PARAMS, form))
     assert plan.count("WindowGroupLimit") >= 2
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_leaderboard_runs_no_job_before_the_action(spark, sf_dir):
+    tracker, group = spark.sparkContext.statusTracker(), "plan-only"
+    inp = inputs(tables(spark, sf_dir))
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        LB.top20_by_metric(inp, PARAMS)
+        assert list(tracker.getJobIdsForGroup(group)) == []
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_clock_is_utc_whatever_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        got = spark.range(1).select(LB.Params().stamp().alias("t")).first()["t"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+    assert abs((got - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
