@@ -17,7 +17,7 @@ from .operators import dedupe
 from .plans import leaderboard as LB
 from .plans import seasons, staging
 from .session import scratch_path
-from .sources.tables import DriverTables
+from .sources.driver_fixtures import DriverTables, box_landing, game_landing, summary_landing
 
 # Parameters of the registered queries on the driver's data (FIXTURES.md).
 START_DATE = "2001-06-01"
@@ -289,13 +289,13 @@ def q_pending_dates(spark, sf_dir):
 @query("date_outcomes")
 def q_date_outcomes(spark, sf_dir):
     t = tables(spark, sf_dir)
-    return backlog.date_outcomes(landing.date_outcomes(landing.game_landing(t)), t.date_status)
+    return backlog.date_outcomes(landing.date_outcomes(game_landing(t)), t.date_status)
 
 
 @query("update_status")
 def q_update_status(spark, sf_dir):
     t = tables(spark, sf_dir)
-    outcomes = backlog.date_outcomes(landing.date_outcomes(landing.game_landing(t)), t.date_status)
+    outcomes = backlog.date_outcomes(landing.date_outcomes(game_landing(t)), t.date_status)
     return backlog.update_status(t.date_status, outcomes, QUEUE_AS_OF)
 
 
@@ -465,8 +465,8 @@ def q_dq_date_status(spark, sf_dir):
 # -- ingest of landed responses (S13-S16, K1-K4) -------------------------------------------------
 
 def _responses(t):
-    return (landing.game_landing(t).unionByName(landing.box_landing(t))
-            .unionByName(landing.summary_landing(t)))
+    return (game_landing(t).unionByName(box_landing(t))
+            .unionByName(summary_landing(t)))
 
 
 @query("split_result_sets")
@@ -478,7 +478,7 @@ def q_split_result_sets(spark, sf_dir):
 
 @query("box_payload_quarantine")
 def q_box_payload_quarantine(spark, sf_dir):
-    return landing.quarantine(landing.box_landing(tables(spark, sf_dir)))
+    return landing.quarantine(box_landing(tables(spark, sf_dir)))
 
 
 from .streaming import streams  # noqa: E402
@@ -493,7 +493,7 @@ def q_upsert_games(spark, sf_dir):
         (F.col("status") == "pending") & (F.dayofmonth("date") % 2 == 0))).select(F.col("date").cast("string").alias("game_date"))
     old, late = F.col("game_date") < UPSERT_TARGET_BEFORE, F.coalesce(F.col("game_date") >= UPSERT_TARGET_BEFORE, F.lit(True))
     target = t.games.filter(old).unionByName(t.games.filter(late).join(listed, "game_date", "left_anti").select(*t.games.columns))
-    return streams.upsert_landed(target, landing.game_landing(t))
+    return streams.upsert_landed(target, game_landing(t))
 
 
 @query("append_api_calls")
@@ -503,7 +503,7 @@ def q_append_api_calls(spark, sf_dir):
     path = scratch_path(spark, "api-calls")
     stored = merge.materialize_at(spark, t.api_calls, path)
     top = stored.select(F.coalesce(F.max("id"), F.lit(0))).scalar()
-    return merge.append_rows(spark, landing.log_rows(landing.game_landing(t), top), path, stored)
+    return merge.append_rows(spark, landing.log_rows(game_landing(t), top), path, stored)
 
 
 # -- streaming (I1, I6): run the stream to the end, return the current table ---------------------
@@ -519,7 +519,7 @@ def q_apilogs_stream(spark, sf_dir):
 def q_games_upsert_stream(spark, sf_dir):
     t = tables(spark, sf_dir)
     land = scratch_path(spark, "game-landing")
-    landing.game_landing(t).write.mode("overwrite").parquet(land)
+    game_landing(t).write.mode("overwrite").parquet(land)
     target, ckpt = scratch_path(spark, "games-stream"), scratch_path(spark, "games-stream-ckpt")
     streams.run_to_end(streams.games_upsert_stream(spark, land, target, ckpt))
     return streams.current_games(spark, target)

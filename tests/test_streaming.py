@@ -8,7 +8,7 @@ import pytest
 
 from courtside.plans import staging
 from courtside.registry import tables
-from courtside.sources import landing
+from courtside.sources.driver_fixtures import game_landing
 from courtside.streaming import streams
 from tests.conftest import rows
 
@@ -34,7 +34,7 @@ def test_api_log_stream_one_vs_many_batches(spark, sf_dir):
 def test_games_upsert_stream_one_vs_many_batches(spark, sf_dir):
     t = tables(spark, sf_dir)
     src = tempfile.mkdtemp(prefix="cs-gl-")
-    landing.game_landing(t).repartition(3).write.mode("overwrite").parquet(src)
+    game_landing(t).repartition(3).write.mode("overwrite").parquet(src)
     results = []
     for per_trigger in (None, 1):
         tgt, ck = tempfile.mkdtemp(prefix="cs-t-") + "/t", tempfile.mkdtemp(prefix="cs-c-")
