@@ -24,7 +24,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -104,11 +104,6 @@ def discounts(counts: dict[int, int]) -> tuple[float, float, float]:
     return tuple(min(max(d, 0.05), k - 0.05) for k, d in enumerate(raw, 1))
 
 
-def _order_tables(grams: DataFrame, size: int) -> tuple[DataFrame, tuple[float, float, float]]:
-    few = grams.filter("c <= 4").groupBy("c").count().collect()  # four rows
-    return grams, discounts({int(r["c"]): r["count"] for r in few})
-
-
 def probabilities(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]:
     """``(kind, gram, value)``: log probabilities of n-grams (kind 0) and log weights of contexts
     (kind 1), and the log probability of a character never seen."""
@@ -118,7 +113,9 @@ def probabilities(top: DataFrame, order: int = ORDER) -> tuple[DataFrame, float]
                                .agg(F.count(F.lit(1)).alias("c")), f"grams-{size}")
     out, lower, unknown = [], None, 0.0
     for size in range(1, order + 1):
-        grams, (d1, d2, d3) = _order_tables(orders[size], size)
+        grams = orders[size]
+        few = grams.filter("c <= 4").groupBy("c").count().collect()  # four rows
+        d1, d2, d3 = discounts({int(r["c"]): r["count"] for r in few})
         cut = F.when(F.col("c") == 1, d1).when(F.col("c") == 2, d2).otherwise(d3)
         grams = grams.withColumn("h", F.expr(f"left(gram, {size - 1})"))
         context = grams.groupBy("h").agg(F.sum("c").alias("total"), F.sum(cut).alias("freed"))

@@ -33,11 +33,66 @@ def op1_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+ORACLES["op1_pareto_mix"] = r"""
+WITH d AS (SELECT doc_id, source, ifnull(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS no FROM d GROUP BY source),
+w AS (SELECT *, [3.0, 1.0, 2.0][no % 3 + 1]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap,
+             1.5::DOUBLE * sum(source_size) OVER () AS budget FROM s),
+f AS (
+  SELECT *, cap <= (budget - ifnull(sum(cap) OVER (ORDER BY cap / weight, no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                   / sum(weight) OVER (ORDER BY cap / weight, no ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) * weight AS held
+  FROM w),
+t AS (
+  SELECT source, source_size, CASE WHEN held THEN cap ELSE least(cap, (budget - ifnull(sum(cap) FILTER (held) OVER (), 0))
+                                   * weight / sum(weight) FILTER (NOT held) OVER ()) END AS target FROM f),
+e AS (
+  SELECT d.doc_id, d.size, t.*, CASE WHEN source_size > 0 THEN least(2.0::DOUBLE, target / source_size) ELSE 0 END AS wanted,
+         floor(wanted)::BIGINT AS certain, greatest(1e-9::DOUBLE, least(1 - 1e-9::DOUBLE, wanted - certain)) AS p,
+         (('0x' || left(md5(concat_ws(':', 'mix', ifnull(d.doc_id::VARCHAR, ''), d.size::VARCHAR)), 13))::BIGINT + 0.5::DOUBLE)
+           / 4503599627370496 AS u,
+         CASE WHEN certain < 2 THEN d.size ELSE 0 END AS offered
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+r AS (
+  SELECT *, row_number() OVER line AS place, sum(offered) OVER (line ROWS UNBOUNDED PRECEDING) AS upto,
+         target - sum(certain * size) OVER (PARTITION BY source) AS room
+  FROM e WINDOW line AS (PARTITION BY source ORDER BY (u / (1 - u)) / (p / (1 - p)), ifnull(doc_id::VARCHAR, ''), size)),
+g AS (
+  SELECT *, offered > 0 AND upto <= room AS chosen,
+         room - ifnull(sum(size) FILTER (offered > 0 AND upto <= room) OVER (PARTITION BY source), 0) AS gap FROM r),
+c AS (
+  SELECT *, CASE WHEN NOT chosen AND offered > 0 AND abs(offered - gap) < abs(gap) THEN {'off': abs(offered - gap), 'place': place} END
+         AS offer FROM g)
+SELECT doc_id, size, source_size, target,
+       ((certain + CASE WHEN chosen OR coalesce(offer = min(offer) OVER (PARTITION BY source), FALSE) THEN 1 ELSE 0 END) * size)::BIGINT AS taken
+FROM c
+"""
+
+
 @query("op2_ngram_join")
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.join_documents(table(spark, sf_dir, "documents"), shingle=3, percent=90)
 
 
+ORACLES["op2_ngram_join"] = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(ifnull(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+d AS (
+  SELECT doc_id, list_sort(list_distinct(CASE WHEN len(ws) BETWEEN 1 AND 2 THEN [array_to_string(ws, ' ')]
+         ELSE [ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] FOR i IN range(1, len(ws) - 1)] END)) AS grams FROM w),
+c AS (SELECT min(doc_id) AS cls, grams, len(grams) AS n FROM d WHERE len(grams) > 0 GROUP BY grams),
+g AS (SELECT cls, n, unnest(grams) AS gram FROM c),
+link AS (
+  SELECT a.cls AS a, b.cls AS b FROM g a JOIN g b ON a.gram = b.gram AND a.cls <> b.cls
+    AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n)
+  GROUP BY ALL HAVING 100 * count(*) >= 90 * (any_value(a.n) + any_value(b.n) - count(*))),
+reach AS (SELECT cls, cls AS other FROM c UNION SELECT r.cls, l.b FROM reach r JOIN link l ON l.a = r.other),
+comp AS (SELECT cls, min(other) AS component_id FROM reach GROUP BY cls)
+SELECT d.doc_id, len(d.grams)::BIGINT AS n_shingles, CASE WHEN len(d.grams) = 0 THEN d.doc_id ELSE comp.component_id END AS component_id
+FROM d LEFT JOIN c USING (grams) LEFT JOIN comp USING (cls)
+"""
+
+
 @query("op3_warc")
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
@@ -74,6 +129,20 @@ def op6_posting_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 50 == 0)
 
 
+# All pairs: what a table of few lists must give exactly; over many lists the search is approximate.
+ORACLES["op6_posting_lists"] = """
+WITH v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+p AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_cosine_similarity(q.e, v.e) AS score
+  FROM v q JOIN v ON q.vec_id <> v.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM p QUALIFY rank <= 5
+"""
+
+
 @query("op7_language_evidence")
 def op7_language_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")

@@ -2,8 +2,7 @@ import gzip
 
 import pytest
 
-from courtside.llm import queries, warc
-from tests.oracle_compare import compare, duck
+from courtside.llm import warc
 
 PAGES = "page_id long, url string, html string, payload string, record_type string"
 
@@ -60,8 +59,3 @@ def test_broken_files_raise(spark, tmp_path):
     (tmp_path / "a.warc").write_bytes(b"WARC/1.1\r\nWARC-Type: response\r\nContent-Length: 90\r\n\r\nshort")
     with pytest.raises(Exception, match="ends early"):
         warc.read_archive(spark, f"file://{tmp_path}").collect()
-
-
-def test_query_matches_oracle(spark, sf_dir):
-    r = compare(spark, duck(sf_dir), "op3_warc", sf_dir, queries.QUERIES, queries.ORACLES)
-    assert r["cols_match"] and r["values_match"], r
