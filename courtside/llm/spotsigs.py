@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from .common import running_totals, written
 from .components import connected_components
-from .ngram_join import links_by_prefix
+from .ngram_join import FAR, level, links_by_prefix
 
 # Anchors: common words of English, German, French and Spanish (fixed values).
 ANCHORS = (
@@ -153,11 +153,11 @@ def near_duplicates(docs: DataFrame, least: float = 0.8, id_col: str = "doc_id",
         both = pairs.join(known.toDF("a", "set_a"), "a").join(known.toDF("b", "set_b"), "b")
         shared = F.size(F.array_intersect("set_a", "set_b"))
         both = both.withColumns({"shared": shared, "all": F.size("set_a") + F.size("set_b") - shared})
-        near = F.lit(100) * F.col("shared") >= F.lit(2 * percent - 100) * F.col("all")
-        keep, none = near & F.lit(differences), F.array().cast("array<bigint>")
+        both = both.withColumn("level", level(
+            F.col("shared"), F.col("all"), percent, lambda test, then, other: F.when(test, then).otherwise(other)))
+        keep, none = (F.col("level") < FAR) & F.lit(differences), F.array().cast("array<bigint>")
         return both.select(
-            "a", "b", (F.lit(100) * F.col("shared") >= F.lit(percent) * F.col("all")).alias("linked"), near.alias("near"),
-            F.when(keep, F.array_except("set_b", "set_a")).otherwise(none).alias("missing"),
+            "a", "b", "level", F.when(keep, F.array_except("set_b", "set_a")).otherwise(none).alias("missing"),
             F.when(keep, F.array_except("set_a", "set_b")).otherwise(none).alias("outside"))
 
     labels = connected_components(links_by_prefix(listed, percent, verify))
