@@ -71,9 +71,14 @@ class TextModel:
 def fit_text_model(rows: DataFrame, id_col: str, text_col: str, label: Column) -> TextModel:
     """Fit on a bounded sample of labelled rows; only bucket counts reach the driver."""
     small_batches(rows.sparkSession)
-    labelled = rows.select(label.alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")) \
-        .filter("label <> ''").withColumn("draw", uniform("langid", F.col("id"), F.length("text")))
-    chosen = top_k_per_group(labelled.select("label", "text", "draw"), ["label"], [F.col("draw").asc()], SAMPLE)
+    labelled = rows.select(label.alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("label <> ''")
+    # The numbers of rows first, so that little more than the sample travels to be ranked.
+    common = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
+    share = F.lit(None).cast("double")
+    for r in common:
+        share = F.when(F.col("label") == r["label"], min(1.0, 4.0 * SAMPLE / r["count"])).otherwise(share)
+    drawn = labelled.withColumn("draw", uniform("langid", F.col("id"), F.length("text"))).filter(F.col("draw") < share)
+    chosen = top_k_per_group(drawn.select("label", "text", "draw"), ["label"], [F.col("draw").asc()], SAMPLE)
 
     def count(batches):
         for batch in batches:

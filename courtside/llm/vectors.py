@@ -140,7 +140,10 @@ def fit(rows: DataFrame) -> Centroids:
     """Centroids from a bounded sample, collected: at most FIT_ROWS vectors."""
     n = rows.count()
     lists = min(MAX_LISTS, max(1, n // LIST_ROWS))
-    chosen = rows.orderBy(uniform("fit", F.col("vec_id")), "vec_id").limit(min(FIT_ROWS, 64 * lists + 1024))
+    wanted = min(FIT_ROWS, 64 * lists + 1024)
+    draw = uniform("fit", F.col("vec_id"))
+    # Little more than the sample travels to be ranked.
+    chosen = rows.filter(draw < min(1.0, 2.0 * wanted / max(1, n))).orderBy(draw, "vec_id").limit(wanted)
     sample = chosen.select("vector").toArrow().column("vector")
     return Centroids.fit(_matrix(sample), lists)
 
