@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import merge
-from ..operators.joins import join_dimension
 from ..operators.ranking import fixed_batches
 from ..sources import schemas
 
@@ -108,4 +107,4 @@ def games_in_date_range(games: DataFrame, start: str, end: str, league_prefix: s
 def date_outcomes(landing_outcomes: DataFrame, status: DataFrame) -> DataFrame:
     """F14 for the pending dates: error (payload missing), no_games (no game ids), processed."""
     pend = status.filter(F.col("status") == "pending").select("date")
-    return join_dimension(landing_outcomes, pend, "date", "inner")
+    return landing_outcomes.join(pend, "date")

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import expressions as X
-from ..operators.joins import join_dimension
 
 
 def stg_gamefinder(games: DataFrame) -> DataFrame:
@@ -76,9 +75,8 @@ def stg_game_boxscore_status(games: DataFrame, team_box: DataFrame, date_status:
     dps = date_status.select(F.col("date").alias("dps_date"), F.col("retry_count").alias("dps_retry"),
                              F.col("last_checked").alias("dps_checked"))
     j = gf.join(bp, F.col("gf.game_id") == F.col("bp.game_id"), "left")
-    # The status table has one row per calendar date: broadcast it (size checked) so a hot date
-    # does not end up in one shuffle task.
-    j = join_dimension(j, dps, F.col("gf.game_date") == F.col("dps_date"), "left")
+    # One status row per calendar date: adaptive execution sees its size and broadcasts it.
+    j = j.join(dps, F.col("gf.game_date") == F.col("dps_date"), "left")
     if mark is not None:
         j = j.filter((F.col("gf.updated_at") >= mark) | (F.col("bp.updated_at") >= mark)
                      | (F.col("dps_checked") >= mark))

@@ -33,7 +33,7 @@ def build_session(cpus: int | str = "*", shuffle_partitions: int | None = None,
     n = shuffle_partitions or (8 if cpus == "*" else max(2, int(cpus) * 2))
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(n)
-    conf.setdefault("spark.driver.memory", os.environ.get("COURTSIDE_DRIVER_MEMORY", "16g"))
+    conf.setdefault("spark.driver.memory", os.environ.get("COURTSIDE_DRIVER_MEMORY", "8g"))
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
