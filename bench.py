@@ -28,7 +28,6 @@ HEADLINE = [
     "backlog_batches",
     "daily_affected_keys",
     "upsert_games",
-    "gbs_affected_keys",
     "dq_top20",
     "games_upsert_stream",
 ]

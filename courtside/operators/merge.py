@@ -52,7 +52,7 @@ def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType,
     part = F.col(partition_by).eqNullSafe(F.col("_part"))
     kept = target.join(touched.withColumnRenamed(partition_by, "_part"), part, "left_semi").join(dead, keys, "left_anti")
     new = cut_lineage(kept.unionByName(batch))
-    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
+    (new.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
     left = new.select(F.col(partition_by).alias("_part")).distinct()
     # Partition values of one run: calendar days.
     for row in touched.join(left, part, "left_anti").collect():
@@ -140,7 +140,8 @@ def materialize(spark: SparkSession, df: DataFrame, name: str, partition_by: lis
 
 
 def materialize_at(spark: SparkSession, df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    w = df.write.mode("overwrite")
+    # One task a partition value (large ones are split), else every task writes a file in every folder.
+    w = (df.hint("rebalance", *partition_by) if partition_by else df).write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
