@@ -40,6 +40,15 @@ def test_added_spans():
     assert pii.find_spans("IBAN DE00 0000, SSN 000-12-3456, accounts 1234567, konto") == []
 
 
+def test_cues_in_any_case_and_numbers_in_any_grouping():
+    for t, number in [("İ😀 Social Security Number: 123-45-6789.", "123-45-6789"), ("Routing Number: 021000021", "021000021"),
+                      ("aCCount nO 12345678", "12345678"), ("SSN: 123456789", "123456789"), ("Ssn 123 45 6789,", "123 45 6789")]:
+        assert [(k, t[a:b]) for k, a, b in pii.find_spans(t)] == [("account", number)], t
+        assert number not in pii.redact(t)
+    for t in ("SSN 1234567890", "SSN 000123456", "SSN 123 00 4567", "SSN 987654321", "\u212aonto 12345678"):
+        assert pii.find_spans(t) == [], t
+
+
 def test_redaction():
     assert pii.redact("mail a@b.co or +49 170 1234567.") == "mail [email] or [phone]."
     assert pii.redact("http://u:p@h.io/") == "http://[login]/"  # login and email overlap: both go
