@@ -64,7 +64,9 @@ def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType,
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
     """Insert rows whose key is absent; existing keys are left untouched. Within ``rows`` the first
-    row per key (smallest ``order``, default: of all columns) is the one inserted."""
+    row per key (smallest ``order``, default: of all columns) is the one inserted. A changed set of
+    columns raises."""
+    target, rows = apply_policy(target, rows)
     first = [order.asc()] if order is not None else [F.col(c).asc() for c in rows.columns]
     rows = keep_preferred(rows, keys, first)
     new = rows.join(target.select(*keys), keys, "left_anti")
@@ -115,7 +117,7 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], id_col: str | N
 
 def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema_of: DataFrame) -> DataFrame:
     """Append ``rows`` as new files of the table at ``path`` and return the whole table."""
-    _, rows = apply_policy(schema_of, rows.select(*schema_of.columns), "fail")
+    _, rows = apply_policy(schema_of, rows)
     rows = cut_lineage(rows)  # they may have been numbered from the table itself
     rows.write.mode("append").parquet(path)
     return spark.read.schema(schema_of.schema).parquet(path)
@@ -124,8 +126,9 @@ def append_rows(spark: SparkSession, rows: DataFrame, path: str, schema_of: Data
 def append_partitions(spark: SparkSession, new: DataFrame, path: str, partition_by: list[str],
                       schema_of: DataFrame) -> DataFrame:
     """Append ``new`` to the partitioned table at ``path`` (no rewrite of existing files)
-    and return the whole table."""
-    new.select(*schema_of.columns).write.mode("append").partitionBy(*partition_by).parquet(path)
+    and return the whole table. A changed set of columns raises."""
+    _, new = apply_policy(schema_of, new)
+    new.write.mode("append").partitionBy(*partition_by).parquet(path)
     return spark.read.schema(schema_of.schema).parquet(path).select(*schema_of.columns)
 
 

@@ -357,3 +357,17 @@ def test_box_status_key_check_shows_trap_t8(spark):
     box, st = make(spark, "team_box", []), make(spark, "date_status", [])
     found = checks.run_checks(staging.stg_game_boxscore_status(games, box, st), checks.BOX_STATUS_RULES)
     assert {r["rule"]: r["failures"] for r in found.collect()} == {"not_null": 0, "unique_combination": 1}
+
+
+@pytest.mark.parametrize("write", ["insert_ignore", "append_rows", "append_partitions"])
+def test_new_column_raises_in_every_keyed_write(spark, tmp_path, write):
+    stored = spark.createDataFrame([(1, "a")], "id long, v string")
+    new = spark.createDataFrame([(2, "b", 3)], "id long, v string, extra int")
+    with pytest.raises(drift.SchemaDriftError):
+        if write == "insert_ignore":
+            merge.insert_ignore(stored, new, ["id"])
+        elif write == "append_rows":
+            merge.append_rows(spark, new, str(tmp_path / "t"), stored)
+        else:
+            merge.append_partitions(spark, new, str(tmp_path / "t"), ["v"], stored)
+    assert not (tmp_path / "t").exists()
