@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..operators.merge import materialize
+from ..operators.merge import materialize_at
+from ..session import scratch_path
 
 # Words are runs of anything but space, tab, LF, VT, FF and CR.
 SPACE = r"\x20\x09-\x0D"
@@ -24,7 +26,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage: a lost executor re-reads this table, and values that a recomputation could
     deal differently (partition ids of a range partitioning) stay fixed.
     """
-    return materialize(df.sparkSession, df, name)
+    path = scratch_path(df.sparkSession, name)
+    out = materialize_at(df.sparkSession, df, path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of ``written`` tables that no later plan reads."""
+    for df in tables:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int, mb: int) -> Iterator[None]:
+    """Bound the rows and bytes of the Arrow batches of what is computed inside; then all is as it was."""
+    names = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(rows),
+             "spark.sql.execution.arrow.maxBytesPerBatch": str(mb << 20)}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def small_batches(spark: SparkSession, rows: int = 256) -> None:
