@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, mixing, near_vectors, ngram_join, pieces, pii, quality, shards, spotsigs, vectors, warc
+from . import collocations, langid, mixing, near_vectors, ngram_join, pieces, pii, quality, shards, spotsigs, vectors, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +194,32 @@ n AS (SELECT a, count(*) AS n_links FROM link GROUP BY a)
 SELECT e.vec_id, ifnull(n.n_links, 0)::BIGINT AS n_links, comp.component_id, e.vec_id = comp.component_id AS kept
 FROM embeddings e JOIN comp USING (vec_id) LEFT JOIN n ON n.a = e.vec_id
 """
+
+
+@query("op11_son_collocations")
+def op11_son_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), support=10, longest=3, covered=50, limit=2000)
+
+
+ORACLES["op11_son_collocations"] = r"""
+WITH p AS (
+  SELECT ifnull(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(ifnull(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS (SELECT lang, m, unnest([array_to_string(ws[i:i + m - 1], ' ') FOR i IN range(1, len(ws) - m + 2)]) AS phrase
+      FROM w, (VALUES (1), (2), (3)) t(m)),
+f AS (SELECT lang, m, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS (SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS ws FROM f WHERE m > 1 AND f >= 10),
+k AS (SELECT c.*, k, array_to_string(ws[1:k], ' ') AS lp, array_to_string(ws[k + 1:], ' ') AS rp FROM c, (VALUES (1), (2)) t(k) WHERE k < m),
+cut AS (
+  SELECT k.lang, k.phrase, a, l.f AS l, r.f AS r, (1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f))::BIGINT AS score
+  FROM k JOIN f l ON l.lang = k.lang AND l.phrase = k.lp JOIN f r ON r.lang = k.lang AND r.phrase = k.rp
+  QUALIFY row_number() OVER (PARTITION BY k.lang, k.phrase ORDER BY score, k) = 1),
+sub AS (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM c WHERE m = 3),
+long AS (SELECT lang, phrase, max(a) AS longer FROM sub GROUP BY lang, phrase)
+SELECT cut.lang, row_number() OVER (PARTITION BY cut.lang ORDER BY score DESC, a DESC, cut.phrase) AS rank, cut.phrase, a, l, r, n, score
+FROM cut JOIN n USING (lang) LEFT JOIN long USING (lang, phrase)
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
