@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, langid, mixing, near_vectors, ngram_join, pieces, pii, quality, shards, spotsigs, vectors, warc
+from . import alignment, collocations, langid, mixing, near_vectors, ngram_join, pieces, pii, quality, shards, spotsigs, vectors, warc
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -223,3 +223,8 @@ FROM cut JOIN n USING (lang) LEFT JOIN long USING (lang, phrase)
 WHERE longer IS NULL OR 100 * longer < 50 * a
 QUALIFY rank <= 2000
 """
+
+
+@query("op13_token_alignment")
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.cross_alignment(table(spark, sf_dir, "documents"), alignment.load())
