@@ -25,6 +25,8 @@ other columns are ignored. A text of any length is read whole, its hashes in blo
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,8 +38,8 @@ from .common import arrow_batches, discard, written
 
 SHARDS = 4
 FILTER_BITS = 27
-BUFFER = 8 << 20   # bytes of text of one language and shard that are looked at together
-BUFFERS = 24 << 20  # of all of them
+BUFFER = 3 << 20   # bytes of text of one language and shard that are looked at together
+BUFFERS = 12 << 20  # of all of them
 BLOCK = 1 << 20    # bytes whose hashes are held at once
 COUNT = "decimal(38,0)"
 
@@ -69,11 +71,15 @@ class Words:
         edge = np.flatnonzero(np.diff(np.concatenate([[False], kind == 0, [False]]).view(np.int8)))
         self.first, self.last = edge[::2], edge[1::2]
         self.piece = np.searchsorted(np.flatnonzero(kind == 2), self.first)
-        self.hash, self.other = (self._hashes(b) for b in _BASES)
+        self.hash = self._hashes(_BASES[0])
 
     def __len__(self) -> int:
         return len(self.first)
 
+    @cached_property
+    def other(self) -> np.ndarray:
+        return self._hashes(_BASES[1])
+
     def _hashes(self, base: int) -> np.ndarray:
         """Sums of a polynomial modulo 2**64 from each word's begin to its end, moved down to its begin."""
         raw = np.frombuffer(self.data, np.uint8)
@@ -135,7 +141,7 @@ class Words:
 
 
 def _buffered(batches):
-    """``(lang, shard, shard_salt, lang_salt, Words)`` of the texts of a task, many at a time."""
+    """``(lang, salt, Words)`` of the texts of a task, many at a time."""
     held: dict[tuple, list[bytes]] = {}
     sizes: dict[tuple, int] = {}
 
@@ -144,8 +150,7 @@ def _buffered(batches):
         return *key, Words(b"\n".join(held.pop(key)))
 
     for batch in batches:
-        names = [batch.column(c).to_pylist() for c in ("lang", "shard", "shard_salt", "lang_salt")]
-        for *key, text in zip(*names, batch.column("text").to_pylist(), strict=True):
+        for *key, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "salt", "text")), strict=True):
             key, data = tuple(key), text.encode("utf-8", "surrogatepass").translate(_LOWER)
             held.setdefault(key, []).append(data)
             sizes[key] = sizes.get(key, 0) + len(data) + 1
@@ -168,51 +173,38 @@ def _text(phrases: list[bytes]) -> pa.Array:
     return pa.array(phrases, pa.binary()).cast(pa.string())
 
 
-def _count_words(batches):
-    for lang, shard, _, _, words in _buffered(batches):
-        at = np.arange(len(words))
-        texts, counts = words.phrases(at, 1)
-        alone = Words(b"\n".join(texts))
-        keys = alone.keys(np.arange(len(alone)), 1) if texts else np.zeros(0, np.uint64)
-        n = len(texts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([shard] * n, pa.int32()), _text(texts),
-                                          pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())],
-                                         names=["lang", "shard", "word", "key", "n"])
-
-
-def _count_level(size: int, frequent: np.ndarray):
+def _count_level(size: int, frequent: np.ndarray | None):
     """Counts of the phrases of ``size`` words whose two shorter parts are in ``frequent``, by key."""
     def run(batches):
-        for lang, shard, salt, _, words in _buffered(batches):
+        for _, salt, words in _buffered(batches):
             at = words.starts(size)
-            good = np.zeros(len(words) + 1, bool)
-            parts = words.starts(size - 1)
-            good[parts] = _holds(frequent, words.keys(parts, size - 1), salt)
-            at = at[good[at] & good[at + 1]]
+            if size > 1:
+                good = np.zeros(len(words) + 1, bool)
+                parts = words.starts(size - 1)
+                good[parts] = _holds(frequent, words.keys(parts, size - 1), salt)
+                at = at[good[at] & good[at + 1]]
             keys, counts = np.unique(words.keys(at, size), return_counts=True)
-            n = len(keys)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([shard] * n, pa.int32()),
-                                              pa.array(keys.view(np.int64)), pa.array(counts, pa.int64())],
-                                             names=["lang", "shard", "key", "n"])
+            yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(salt, pa.int64()), len(keys)), pa.array(keys.view(np.int64)),
+                                              pa.array(counts, pa.int64())], names=["salt", "key", "n"])
     return run
 
 
 def _count_candidates(longest: int, candidates: np.ndarray):
     def run(batches):
-        for lang, _, _, salt, words in _buffered(batches):
-            for size in range(2, longest + 1):
+        for lang, salt, words in _buffered(batches):
+            for size in range(1, longest + 1):
                 at = words.starts(size)
                 at = at[_holds(candidates, words.keys(at, size), salt)]
                 texts, counts = words.phrases(at, size)
                 n = len(texts)
-                yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int32()), _text(texts),
-                                                  pa.array(counts, pa.int64())], names=["lang", "size", "phrase", "n"])
+                yield pa.RecordBatch.from_arrays([pa.repeat(pa.scalar(lang, pa.string()), n), pa.repeat(pa.scalar(size, pa.int32()), n),
+                                                  _text(texts), pa.array(counts, pa.int64())], names=["lang", "size", "phrase", "n"])
     return run
 
 
-def bitmap_of(keys: DataFrame, salt: str) -> np.ndarray:
-    """Bits of the salted ``key`` column: 2 ** FILTER_BITS of them, whatever the number of keys."""
-    bit = F.shiftrightunsigned(F.col("key").bitwiseXOR(F.col(salt)), 64 - FILTER_BITS)
+def bitmap_of(keys: DataFrame) -> np.ndarray:
+    """Bits of ``key`` under ``salt``: 2 ** FILTER_BITS of them, whatever the number of keys."""
+    bit = F.shiftrightunsigned(F.col("key").bitwiseXOR(F.col("salt")), 64 - FILTER_BITS)
     rows = keys.select((bit % 32768).alias("bit"), F.shiftright(bit, 15).alias("bucket")) \
         .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toArrow()
     out = np.zeros((1 << FILTER_BITS) // 32768 * 4096, np.uint8).reshape(-1, 4096)
@@ -221,45 +213,38 @@ def bitmap_of(keys: DataFrame, salt: str) -> np.ndarray:
     return out.reshape(-1)
 
 
-def mined(docs: DataFrame, support: int, longest: int, shards: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """``(lang, n)``; ``(lang, part, f)``: all words and phrases that occur at least ``support`` times;
-    ``(lang, phrase, size, a)``: those phrases."""
+def mined(docs: DataFrame, support: int, longest: int, shards: int) -> tuple[DataFrame, DataFrame]:
+    """``(lang, n)``, and ``(lang, size, phrase, f)`` of the words and phrases that occur at least ``support`` times."""
     spark = docs.sparkSession
-    salts = {"shard_salt": F.xxhash64("lang", "shard"), "lang_salt": F.xxhash64("lang")}
-    docs = docs.filter("text IS NOT NULL").select("lang", "shard", "text").withColumns(salts)
-    sum_n = F.sum("n").alias("n")
+    docs = docs.filter("text IS NOT NULL").select("lang", "shard", "text")
+    in_shard = docs.withColumn("salt", F.xxhash64("lang", "shard"))
+    in_lang = docs.withColumn("salt", F.xxhash64("lang"))
+    level, sizes, found = None, None, []
     with arrow_batches(spark, 2048, 4):
-        words = written(docs.mapInArrow(_count_words, "lang string, shard int, word string, key bigint, n bigint")
-                        .groupBy("lang", "shard", "word").agg(F.max("key").alias("key"), sum_n), "words")
         # One row a language and shard.
-        here = words.groupBy("lang", "shard").agg(F.sum("n").alias("n_shard"))
-        whole = words.groupBy("lang").agg(F.sum("n").alias("n_lang"))
-        sizes = dimension(here.join(whole, "lang"))
-
-        def frequent(counts: DataFrame) -> DataFrame:
-            """What occurs in a shard in proportion to ``support``."""
+        parts = written(in_shard.select("lang", "salt").distinct(), "parts")
+        for size in range(1, longest + 1):
+            counts = in_shard.select("lang", "salt", "text").mapInArrow(
+                _count_level(size, None if level is None else bitmap_of(level)), "salt bigint, key bigint, n bigint")
+            # The tasks have summed their own; a second sum before the exchange would save little.
+            counts = counts.repartition("salt", "key").groupBy("salt", "key").agg(F.sum("n").alias("n"))
+            if sizes is None:
+                counts = written(counts, "words")
+                here = counts.groupBy("salt").agg(F.sum("n").alias("n_shard")).join(parts, "salt")
+                whole = written(here.groupBy("lang").agg(F.sum("n_shard").alias("n")), "sizes")
+                sizes = dimension(here.join(whole.withColumnRenamed("n", "n_lang"), "lang"))
             enough = F.col("n").cast(COUNT) * F.col("n_lang").cast(COUNT) >= F.lit(support).cast(COUNT) * F.col("n_shard").cast(COUNT)
-            return join_dimension(counts, sizes, ["lang", "shard"]).filter(enough).select("lang", "shard", "key").withColumns(salts)
-
-        level = written(frequent(words), "frequent-1")
-        found = []
-        for size in range(2, longest + 1):
-            counts = docs.mapInArrow(_count_level(size, bitmap_of(level, "shard_salt")), "lang string, shard int, key bigint, n bigint") \
-                .groupBy("lang", "shard", "key").agg(sum_n)
-            below, level = level, written(frequent(counts), f"frequent-{size}")
-            found.append(level.select("lang_salt", "key"))
-            if size == 2:
-                discard(below)
+            level = written(join_dimension(counts, sizes, "salt").filter(enough).select("lang", "salt", "key"), f"frequent-{size}")
+            found.append(level.select("key", F.xxhash64("lang").alias("salt")))
+            if size == 1:
+                discard(counts)
         candidates = found[0]
         for more in found[1:]:
             candidates = candidates.union(more)
-        counts = docs.mapInArrow(_count_candidates(longest, bitmap_of(candidates, "lang_salt")),
-                                 "lang string, size int, phrase string, n bigint")
-        phrases = written(counts.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("a")).filter(F.col("a") >= support), "phrases")
-    usual = words.groupBy("lang", "word").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
-    parts = usual.select("lang", F.col("word").alias("part"), "f").unionByName(
-        phrases.select("lang", F.col("phrase").alias("part"), F.col("a").alias("f")))
-    return whole.withColumnRenamed("n_lang", "n"), parts, phrases
+        counts = in_lang.select("lang", "salt", "text").mapInArrow(
+            _count_candidates(longest, bitmap_of(candidates)), "lang string, size int, phrase string, n bigint")
+        counts = counts.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("f")).filter(F.col("f") >= support)
+        return whole, written(counts, "phrases")
 
 
 def _joined(start: Column, size: Column) -> Column:
@@ -271,9 +256,9 @@ def collocations(docs: DataFrame, support: int = 10, longest: int = 3, covered:
     """The ``limit`` best phrases of each language: ``lang, rank, phrase, a, l, r, n, score``."""
     rows = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"),
                        F.pmod(F.xxhash64(F.col(id_col)), F.lit(shards)).cast("int").alias("shard"))
-    totals, parts, phrases = mined(rows, support, longest, shards)
-    split = phrases.withColumn("words", F.split("phrase", " ", -1))
-    side = lambda x: parts.select("lang", F.col("part").alias(f"{x}_part"), F.col("f").alias(x))
+    totals, counted = mined(rows, support, longest, shards)
+    split = counted.filter("size > 1").withColumnRenamed("f", "a").withColumn("words", F.split("phrase", " ", -1))
+    side = lambda x: counted.select("lang", F.col("phrase").alias(f"{x}_part"), F.col("f").alias(x))
     cuts = split.withColumn("k", F.explode(F.sequence(F.lit(1), F.col("size") - 1))).select(
         "lang", "phrase", "a", "k", _joined(F.lit(1), F.col("k")).alias("l_part"),
         _joined(F.col("k") + 1, F.col("size") - F.col("k")).alias("r_part"))

@@ -65,7 +65,7 @@ def test_equals_brute_force(spark, seed, kw):
 
 
 def test_a_full_bitmap_changes_nothing(spark, monkeypatch):
-    monkeypatch.setattr(C, "bitmap_of", lambda keys, salt: np.full(4096, 255, np.uint8))
+    monkeypatch.setattr(C, "bitmap_of", lambda keys: np.full(4096, 255, np.uint8))
     rows = prose(6)
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
     assert found(df) == brute([r[1:] for r in rows])
@@ -96,8 +96,7 @@ def test_hashes_do_not_depend_on_blocks(monkeypatch):
 
 def test_buffers_hold_each_text_once(monkeypatch):
     rows = prose(8)
-    batch = pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows], "shard": [r[0] % 3 for r in rows], "shard_salt": [1] * len(rows),
-                                        "lang_salt": [2] * len(rows), "text": [r[1] for r in rows]})
+    batch = pa.RecordBatch.from_pydict({"lang": [r[2] or "und" for r in rows], "salt": [r[0] % 3 for r in rows], "text": [r[1] for r in rows]})
     words = lambda: sum((Counter(w.phrases(w.starts(2), 2)[0]) for *_, w in C._buffered([batch, batch])), Counter())
     total = lambda: sum(len(w) for *_, w in C._buffered([batch, batch]))
     few, n = set(words()), total()
