@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -29,14 +30,43 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(df.sparkSession, name)
     out = materialize_at(df.sparkSession, df, path)
     out.scratch = path
+    if held := _HELD.get():
+        held[-1].append(out)
     return out
 
 
 def discard(*tables: DataFrame) -> None:
-    """Delete the files of ``written`` tables that no later plan reads."""
+    """Delete the files of ``written`` tables that no later plan reads, and let the driver's JVM find out
+    which exchanges are over, so that executors delete their files, too."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+    if tables:
+        tables[0].sparkSession._jvm.System.gc()
+
+
+_HELD: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("held", default=())
+
+
+@contextmanager
+def scratch() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Tables ``written`` inside are deleted at the end, but for those that the given function is told to keep."""
+    held: list[DataFrame] = []
+    token = _HELD.set((*_HELD.get(), held))
+    kept: list[DataFrame] = []
+
+    def keep(table: DataFrame) -> DataFrame:
+        kept.append(table)
+        return table
+
+    try:
+        yield keep
+    finally:
+        _HELD.reset(token)
+        stay = {t.scratch for t in kept}
+        discard(*[t for t in held if t.scratch not in stay])
+        if outer := _HELD.get():
+            outer[-1].extend(kept)
 
 
 @contextmanager

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import scratch, written
 
 
 def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -15,7 +15,11 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
     that label, so paths shorten by more than half; each round is written, so a lost executor
     repeats one round at most. Labels are node ids; null ends are ignored.
     """
-    known = links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")
+    with scratch() as keep:
+        return keep(_components(links.select(F.col(a).alias("a"), F.col(b).alias("b")).filter("a <> b")))
+
+
+def _components(known: DataFrame) -> DataFrame:
     both = written(known.union(known.select("b", "a")).distinct().toDF("node", "other"), "links")
     labels = written(both.groupBy("node").agg(F.least(F.col("node"), F.min("other")).alias("label")), "labels")
     while True:
@@ -25,6 +29,8 @@ def connected_components(links: DataFrame, a: str = "a", b: str = "b") -> DataFr
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("far"))
         moved = written(step.join(jump, "next", "left").select(
             "node", F.col("label").alias("old"), F.least("next", F.coalesce("far", "next")).alias("label")), "labels")
+        same = moved.filter("old <> label").isEmpty()
         labels = moved.select("node", "label")
-        if moved.filter("old <> label").isEmpty():
+        labels.scratch = moved.scratch
+        if same:
             return labels

@@ -70,7 +70,8 @@ FROM c
 
 @query("op2_ngram_join")
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.join_documents(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    joined = ngram_join.join_documents(table(spark, sf_dir, "documents"), shingle=3, percent=90)
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 ORACLES["op2_ngram_join"] = r"""
