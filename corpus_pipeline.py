@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from courtside.llm import langid, mixing, ngram_join, pieces, pii
 from courtside.llm.common import table, written
-from courtside.operators.ranking import top_k_per_group
 
 LEAST_CONFIDENCE = 0.5
 MIX_WEIGHTS = (3, 1, 2)
@@ -29,15 +28,9 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """N-gram Jaccard join (five words, 0.8): of each component the document with the least id stays.
-
-    Rows that share an id count as one document; rows without an id cannot be told apart and stay.
-    """
-    joined = ngram_join.join_documents(docs, shingle=5, percent=80)
-    first = joined.filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").select(*docs.columns)
-    kept = top_k_per_group(kept, ["doc_id"], [F.col("text").asc_nulls_last()], 1, "_row_no").select(*docs.columns)
-    return kept.unionByName(docs.filter("doc_id IS NULL"))
+    """N-gram Jaccard join (five words, 0.8): of each component one row stays, that with the least id. Where an id
+    repeats, its texts are told apart by their sets; a null id comes after all others; rows without words stay."""
+    return ngram_join.keep_firsts(docs, shingle=5, percent=80)
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
