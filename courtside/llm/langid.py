@@ -30,7 +30,6 @@ from ..operators.ranking import top_k_per_group
 from .common import small_batches, uniform, written
 
 SAMPLE = 400       # labelled rows a language that the text model is fitted on
-MOST_LANGUAGES = 200
 BUCKETS = 1 << 14  # hashed byte trigrams
 TEMPER = 2.0       # a text of n trigrams counts as TEMPER * sqrt(n) independent ones
 STRENGTH = 20.0    # rows' worth of the wider prior in a narrower one
@@ -73,11 +72,10 @@ def fit_text_model(rows: DataFrame, id_col: str, text_col: str, label: Column) -
     small_batches(rows.sparkSession)
     labelled = rows.select(label.alias("label"), F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter("label <> ''")
     # The numbers of rows first, so that little more than the sample travels to be ranked.
-    common = labelled.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
-    share = F.lit(None).cast("double")
-    for r in common:
-        share = F.when(F.col("label") == r["label"], min(1.0, 4.0 * SAMPLE / r["count"])).otherwise(share)
-    drawn = labelled.withColumn("draw", uniform("langid", F.col("id"), F.length("text"))).filter(F.col("draw") < share)
+    sizes = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("rows"))
+    share = F.least(F.lit(1.0), F.lit(4.0 * SAMPLE) / F.col("rows"))
+    drawn = join_dimension(labelled, sizes, "label").withColumn("draw", uniform("langid", F.col("id"), F.length("text"))) \
+        .filter(F.col("draw") < share)
     chosen = top_k_per_group(drawn.select("label", "text", "draw"), ["label"], [F.col("draw").asc()], SAMPLE)
 
     def count(batches):
@@ -90,8 +88,8 @@ def fit_text_model(rows: DataFrame, id_col: str, text_col: str, label: Column) -
 
     counts = chosen.select("label", "text").mapInArrow(count, "label string, bucket bigint, n bigint") \
         .groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    packed = counts.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("counts"), F.sum("n").alias("total")) \
-        .orderBy(F.desc("total"), "label").limit(MOST_LANGUAGES).collect()  # at most MOST_LANGUAGES x BUCKETS
+    # Languages x BUCKETS numbers at most.
+    packed = counts.groupBy("label").agg(F.collect_list(F.struct("bucket", "n")).alias("counts")).collect()
     packed.sort(key=lambda r: r["label"])
     logp = np.zeros((BUCKETS, len(packed)), np.float32)
     for k, r in enumerate(packed):

@@ -6,8 +6,10 @@ another character: no piece crosses such a cut, so the best segmentation of a te
 words. Distinct words of a batch are grouped by length and advance together, one code point a step:
 rolling hashes of all substrings of a length are looked up among the sorted keys of the pieces of
 that length, and vectorised maxima over the piece lengths store backpointers. The path with the
-largest sum of scores wins, on ties that whose last piece is longer. Characters without a piece
-become byte pieces, so decoding gives back every text exactly.
+largest sum of scores wins, on ties that whose last piece is longer. Characters without a piece, and
+U+2581 itself, become byte pieces, so decoding gives back every text exactly. A word longer than
+``LONG`` advances alone, a window after the other; the scores of the last ``longest`` places are all
+that the next window needs.
 
 Defined results: a null or empty text has no ids; decoding no ids gives an empty text; a null list
 decodes to an empty text; repeated rows are independent; other columns pass through.
@@ -31,10 +33,17 @@ DEFAULT_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 _CHUNK = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 _BASE = np.uint64(0x9E3779B97F4A7C15)
+_PLACE = "\ud800"  # stands for U+2581 in a text; no text holds a lone surrogate
+LONG = 2048      # code points; longer words are cut into windows
+_ROW = 256       # code points of a window that are hashed in a row
 _SLAB = 1 << 18  # code points whose hashes are held at once
 _MEMO = 1 << 22  # ids remembered between batches; more only cost time
 
 
+def _padded(values: np.ndarray, n: int) -> list[int]:
+    return values.tolist() + [0] * (n - len(values))
+
+
 class Vocabulary:
     """Pieces of a model as sorted substring hashes per length. Pickles as its pieces and scores."""
 
@@ -65,7 +74,7 @@ class Vocabulary:
         self.byte_of = np.zeros(len(self.pieces), np.uint8)
         self.byte_of[self.byte_ids] = np.arange(256)
         self.is_high = self.is_byte & (self.byte_of > 127)  # the others are a character each
-        self.texts = [chr(self.byte_of[i]) if self.is_byte[i] else p for i, p in enumerate(self.pieces)]
+        self.texts = [chr(self.byte_of[i]) if self.is_byte[i] else p.replace(MARK, " ") for i, p in enumerate(self.pieces)]
         self.forget()
 
     def __reduce__(self):
@@ -128,7 +137,7 @@ class Vocabulary:
         used = path != -2
         ids, size = path[used], used.sum(1)
         if (unknown := ids < -2).any():
-            letters = [list(chr(-3 - i).encode("utf-8", "surrogatepass")) for i in ids[unknown].tolist()]
+            letters = [self._letters(-3 - i) for i in ids[unknown].tolist()]
             width = np.ones(len(ids), np.int64)
             width[unknown] = [len(x) for x in letters]
             size = np.add.reduceat(width, np.cumsum(size) - size)
@@ -136,6 +145,51 @@ class Vocabulary:
             ids[unknown] = np.array(self.byte_ids, np.int32)[[b for x in letters for b in x]]
         return ids, size
 
+    @staticmethod
+    def _letters(point: int) -> list[int]:
+        return list((MARK if point == ord(_PLACE) else chr(point)).encode("utf-8", "surrogatepass"))
+
+    def _long(self, word: str) -> np.ndarray:
+        """Ids of one long word, by the same sums as ``_slab``."""
+        points = np.frombuffer(word.encode("utf-32-le", "surrogatepass"), np.uint32)
+        n, reach, window = len(points), self.longest, _ROW * _ROW
+        best = [0.0] + [-np.inf] * reach  # of the places from the window's begin on
+        step, piece = np.zeros(n + 1, np.int32), np.full(n + 1, -1, np.int32)
+        for at in range(0, n, window):
+            size = min(window, n - at)
+            rows = -(-size // _ROW)
+            padded = np.full(rows * _ROW + reach, 0xFFFFFFFF, np.uint32)  # no code point
+            padded[:min(len(padded), n - at)] = points[at:at + len(padded)]
+            grid = padded[np.arange(rows)[:, None] * _ROW + np.arange(_ROW + reach)]
+            hashes = self._hashes(grid)
+            begins, sizes, ids = [], [], []
+            for s in sorted(self.keys):
+                found = self._matches(hashes[:, :_ROW + s], s)[:, :_ROW].reshape(-1)[:size]
+                where = np.flatnonzero(found >= 0)
+                begins.append(where)
+                sizes.append(np.full(len(where), s))
+                ids.append(found[where])
+            alone = np.setdiff1d(np.arange(size), begins[0] if 1 in self.keys else [])
+            begins, sizes, ids = (np.concatenate([x, *y]) for x, y in (
+                (alone, begins), (np.ones(len(alone), np.int64), sizes), (np.full(len(alone), -1), ids)))
+            order = np.lexsort((sizes, begins))
+            gains = np.where(ids >= 0, self.score[ids], self.unknown)[order].tolist()
+            best += [-np.inf] * size
+            last, kind = [0] * len(best), [-1] * len(best)
+            last[:reach + 1], kind[:reach + 1] = _padded(step[at:at + reach + 1], reach + 1), _padded(piece[at:at + reach + 1], reach + 1)
+            for b, s, i, g in zip(begins[order].tolist(), sizes[order].tolist(), ids[order].tolist(), gains, strict=True):
+                total, end = best[b] + g, b + s
+                if total > best[end] or (total == best[end] and s > last[end]):
+                    best[end], last[end], kind[end] = total, s, i
+            upto = min(n + 1, at + len(best)) - at
+            step[at:at + upto], piece[at:at + upto] = last[:upto], kind[:upto]
+            best = best[size:]
+        steps, kinds, out, at = step.tolist(), piece.tolist(), [], n
+        while at > 0:
+            kind, at = kinds[at], at - steps[at]
+            out += [kind] if kind >= 0 else [self.byte_ids[b] for b in reversed(self._letters(int(points[at])))]
+        return np.array(out[::-1], np.int32)
+
     def learn(self, words: list[str]) -> None:
         """Segment words that the memo lacks."""
         by_length: dict[int, list[str]] = {}
@@ -143,6 +197,11 @@ class Vocabulary:
             by_length.setdefault(len(w), []).append(w)
         flat, sizes, names = [], [], []
         for length, group in by_length.items():
+            if length > LONG:
+                names += group
+                flat += (long := [self._long(w) for w in group])
+                sizes.append(np.array([len(x) for x in long], np.int64))
+                continue
             slab = max(1, _SLAB // length)
             for k in range(0, len(group), slab):
                 names += group[k:k + slab]
@@ -157,7 +216,7 @@ class Vocabulary:
         self.memo.update(zip(names, range(n, n + len(names)), strict=True))
 
     def encode(self, texts: Sequence[str | None]) -> pa.ListArray:
-        cut = [_CHUNK.findall(MARK + t.replace(" ", MARK)) if t else [] for t in texts]
+        cut = [_CHUNK.findall(MARK + t.replace(MARK, _PLACE).replace(" ", MARK)) if t else [] for t in texts]
         n = sum(map(len, cut))
         word = np.fromiter(map(self.memo.get, chain.from_iterable(cut), repeat(-1)), np.int64, n)
         if len(new := np.flatnonzero(word < 0)):
@@ -179,11 +238,11 @@ class Vocabulary:
         if not len(ids):
             return ""
         if self.is_high[ids].any():
-            parts = [bytes([self.byte_of[i]]) if self.is_byte[i] else self.pieces[i].encode() for i in ids]
+            parts = [bytes([self.byte_of[i]]) if self.is_byte[i] else self.texts[i].encode() for i in ids]
             text = b"".join(parts).decode("utf-8", "replace")
         else:
             text = "".join(map(self.texts.__getitem__, ids.tolist()))
-        return text.replace(MARK, " ")[1:]
+        return text[1:]
 
 
 _KNOWN: dict[tuple, Vocabulary] = {}

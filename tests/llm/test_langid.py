@@ -67,3 +67,16 @@ def test_edge_rows(spark):
 def test_query_keeps_clean_documents(spark):
     out = queries.QUERIES["op7_language_evidence"](spark, "/root/testdata/sf0.01").collect()
     assert len(out) == 1000 and sum(r["kept"] for r in out) >= 995
+
+
+def test_any_number_of_languages(spark):
+    """201 languages, each with words of its own: the model knows and tells them all."""
+    rng = random.Random(4)
+    tags = [a + b for a in "abcdefghijklmno" for b in "abcdefghijklmnopqrstuvwxyz"][:201]
+    words = {t: ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(12)] for t in tags}
+    rows = [(k, " ".join(rng.choices(words[tags[k % 201]], k=25)), tags[k % 201]) for k in range(603)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit_text_model(docs, "doc_id", "text", F.col("lang"))
+    assert model.languages == sorted(tags)
+    best = model.scores([r[1] for r in rows]).argmax(1)
+    assert sum(model.languages[k] == r[2] for k, r in zip(best, rows, strict=True)) >= 0.99 * len(rows)

@@ -11,7 +11,7 @@ from tests.llm.test_ngram_join import brute
 
 
 def test_registered():
-    assert "pipeline" in E.queries() and {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in queries.QUERIES}
+    assert "pipeline" in E.queries() and {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in queries.QUERIES}
     assert set(queries.ORACLES) <= set(queries.QUERIES) and "pipeline" not in E.oracle_sql()
 
 
@@ -50,6 +50,16 @@ def test_each_stage_by_brute_force(spark, sf_dir):
         assert r["ids"] == v.encode([texts[r["doc_id"]]["text"]]).to_pylist()[0] and r["n_tokens"] == len(r["ids"])
 
 
+def test_repeated_and_missing_ids(spark, sf_dir):
+    """No clean text goes with a copy that has its id; copies without an id go; one row of each component stays."""
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(60)) for x in "abcd")
+    rows = [(1, a), (1, b), (2, a), (2, c), (None, d), (None, d), (3, d + " tail"), (None, c + " end"), (None, "alone " * 9), (4, ""), (None, None),
+            (4, ""), (5, "solo " * 12), (5, "solo " * 12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    once = sorted(((r["doc_id"], (r["text"] or "")[:6]) for r in corpus_pipeline.drop_near_copies(spark, docs, sf_dir).collect()), key=str)
+    assert once == sorted([(1, a[:6]), (1, b[:6]), (2, c[:6]), (3, d[:6]), (None, "alone "), (4, ""), (4, ""), (None, ""), (5, "solo s")], key=str)
+
+
 @pytest.mark.parametrize("stage", [n for n, _ in corpus_pipeline.STAGES])
 def test_edge_rows(spark, sf_dir, stage):
     docs = edge_docs(spark)
