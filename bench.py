@@ -27,6 +27,8 @@ HEADLINE = [
     "player_box_canonical",
     "backlog_batches",
     "daily_affected_keys",
+    "daily_incremental",
+    "gbs_affected_keys",
     "upsert_games",
     "dq_top20",
     "games_upsert_stream",

@@ -34,14 +34,31 @@ def keyed_replace(target: DataFrame, batch: DataFrame, keys: list[str], gone: Da
     return target.join(dead.distinct(), keys, "left_anti").unionByName(batch)
 
 
+def month_of(date_col: str) -> Column:
+    """The calendar month of a date as a partition value: a folder holds a month of rows."""
+    return F.date_format(date_col, "yyyy-MM")
+
+
 def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType, batch: DataFrame, keys: list[str],
-                          partition_by: str, gone: DataFrame | None = None, policy: str = "fail") -> DataFrame:
+                          partition_by: str, gone: DataFrame | None = None, policy: str = "fail",
+                          part: Column | None = None) -> DataFrame:
     """``keyed_replace`` on the stored table at ``path``, writing only the partitions that hold a
-    replaced or a new row; returns the whole table.
+    replaced or a new row; returns the whole table with the columns of ``batch``.
+
+    ``part`` computes the partition of a row where the rows themselves do not hold ``partition_by``.
+    A key column cannot be the partition: that would be a folder and a file per key.
 
     The new rows of those partitions are written to the checkpoint folder before the table is
-    touched, so no read meets half-overwritten files. Partitions left without rows are removed.
+    touched, so no read meets half-overwritten files. Partitions left without rows are removed last;
+    repeating a run that was lost in between finds and removes them.
     """
+    if partition_by in keys:
+        raise ValueError(f"{partition_by} is a key of the table: store it by a wider range")
+    names = batch.columns
+    if part is not None:
+        batch = batch.withColumn(partition_by, part)
+    if partition_by not in schema.names:
+        schema = T.StructType([*schema.fields, batch.schema[partition_by]])
     target = spark.read.schema(schema).parquet(path).select(*schema.names)
     target, batch = apply_policy(target, batch, policy)
     batch = cut_lineage(batch)
@@ -49,17 +66,17 @@ def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType,
     dead = cut_lineage(dead.distinct())
     hit = target.join(dead, keys, "left_semi").select(partition_by)
     touched = cut_lineage(hit.union(batch.select(partition_by)).distinct())
-    part = F.col(partition_by).eqNullSafe(F.col("_part"))
-    kept = target.join(touched.withColumnRenamed(partition_by, "_part"), part, "left_semi").join(dead, keys, "left_anti")
+    same = F.col(partition_by).eqNullSafe(F.col("_part"))
+    kept = target.join(touched.withColumnRenamed(partition_by, "_part"), same, "left_semi").join(dead, keys, "left_anti")
     new = cut_lineage(kept.unionByName(batch))
     (new.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
     left = new.select(F.col(partition_by).alias("_part")).distinct()
-    # Partition values of one run: calendar days.
-    for row in touched.join(left, part, "left_anti").collect():
+    # Partition values of one run: days or months of the calendar.
+    for row in touched.join(left, same, "left_anti").collect():
         folder = spark._jvm.org.apache.hadoop.fs.Path(
             f"{path}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-    return spark.read.schema(batch.schema).parquet(path).select(*batch.columns)
+    return spark.read.schema(batch.schema).parquet(path).select(*names)
 
 
 def insert_ignore(target: DataFrame, rows: DataFrame, keys: list[str], order: Column | None = None) -> DataFrame:
@@ -149,3 +166,22 @@ def materialize_at(spark: SparkSession, df: DataFrame, path: str, partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def rebuild(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """K7: store ``df`` as the next version of the table at ``path`` and return it. A version is a folder of its own,
+    complete before ``current`` names it, so a reader or a run lost half-way sees the one before; ``df`` may read it."""
+    conf = spark._jsc.hadoopConfiguration()
+    jvm_path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = jvm_path(path)
+    fs = folder.getFileSystem(conf)
+    found = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
+    version = 1 + max([int(n[1:]) for n in found if n.startswith("v")], default=0)
+    out = materialize_at(spark, df, f"{path}/v{version}")
+    fs.create(jvm_path(f"{path}/current-{version}"), True).close()
+    # The version before stays for readers that began with it.
+    for name in found:
+        if name.startswith("v") and int(name[1:]) < version - 1:
+            fs.delete(jvm_path(f"{path}/current-{name[1:]}"), False)
+            fs.delete(jvm_path(f"{path}/{name}"), True)
+    return out

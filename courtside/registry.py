@@ -18,6 +18,7 @@ from .plans import leaderboard as LB
 from .plans import seasons, staging
 from .session import scratch_path
 from .sources.driver_fixtures import DriverTables, box_landing, game_landing, summary_landing
+from .sources.tables import register_views
 
 # Parameters of the registered queries on the driver's data (FIXTURES.md).
 START_DATE = "2001-06-01"
@@ -264,7 +265,7 @@ def q_distinct_game_versions(spark, sf_dir):
 
 # -- backlog and work queue (M10-M15) ----------------------------------------------------------
 from .operators import checks, merge  # noqa: E402
-from .plans import backlog, incremental  # noqa: E402
+from .plans import backlog, incremental, ingest  # noqa: E402
 from .sources import landing  # noqa: E402
 
 QUEUE_AS_OF = "2001-08-10 08:25:00"
@@ -347,6 +348,16 @@ def _stored(spark, first, name: str, part: str) -> tuple[str, DataFrame]:
     return path, merge.materialize_at(spark, first, path, [part])
 
 
+def _stored_by_month(spark, first, name: str) -> tuple[str, DataFrame]:
+    """A first run's rows, stored by the month of their game date."""
+    path = scratch_path(spark, name)
+    return path, merge.materialize_at(spark, first.withColumn("month", merge.month_of("game_date")), path, ["month"]).drop("month")
+
+
+def _replaced(spark, path: str, target: DataFrame, batch: DataFrame, keys: list[str], gone: DataFrame | None = None) -> DataFrame:
+    return merge.replace_in_partitions(spark, path, target.schema, batch, keys, "month", gone, part=merge.month_of("game_date"))
+
+
 @query("apilogs_incremental")
 def q_apilogs_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
@@ -357,8 +368,8 @@ def q_apilogs_incremental(spark, sf_dir):
 
 
 def _daily_first(spark, t):
-    return _stored(spark, incremental.daily_batch(_before(t.games, "updated_at", BOX_T0),
-                                                  _before(t.team_box, "updated_at", BOX_T0), None), "daily", "game_date")
+    return _stored_by_month(spark, incremental.daily_batch(_before(t.games, "updated_at", BOX_T0),
+                                                           _before(t.team_box, "updated_at", BOX_T0), None), "daily")
 
 
 @query("daily_incremental")
@@ -366,7 +377,7 @@ def q_daily_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
     path, target = _daily_first(spark, t)
     batch = incremental.daily_batch(t.games, t.team_box, target)
-    return merge.replace_in_partitions(spark, path, target.schema, batch, ["game_date"], "game_date")
+    return _replaced(spark, path, target, batch, ["game_date"])
 
 
 def _known(df, column: str, t0: str):
@@ -389,10 +400,10 @@ def _moved(games, t0: str):
 def q_daily_affected_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
     games, box = _moved(t.games, BOX_T0), _known(t.team_box, "updated_at", BOX_T0)
-    path, target = _stored(spark, staging.stg_daily_game_summary(games, box), "daily", "game_date")
+    path, target = _stored_by_month(spark, staging.stg_daily_game_summary(games, box), "daily")
     placed = games.select("game_id", F.col("game_date").cast("date").alias("game_date")).distinct()
     fresh, days = incremental.daily_affected_keys(t.games, t.team_box, placed, BOX_T0)
-    return merge.replace_in_partitions(spark, path, target.schema, fresh, ["game_date"], "game_date", days)
+    return _replaced(spark, path, target, fresh, ["game_date"], days)
 
 
 @query("gbs_incremental")
@@ -400,9 +411,9 @@ def q_gbs_incremental(spark, sf_dir):
     t = tables(spark, sf_dir)
     first = incremental.gbs_batch(_before(t.games, "updated_at", BOX_T0), _before(t.team_box, "updated_at", BOX_T0),
                                   _before(t.date_status, "last_checked", BOX_T0), None)
-    path, target = _stored(spark, first, "gbs", "game_date")
+    path, target = _stored_by_month(spark, first, "gbs")
     batch = incremental.gbs_batch(t.games, t.team_box, t.date_status, target)
-    return merge.replace_in_partitions(spark, path, target.schema, batch, ["game_date", "game_id"], "game_date")
+    return _replaced(spark, path, target, batch, ["game_date", "game_id"])
 
 
 @query("gbs_affected_keys")
@@ -410,9 +421,9 @@ def q_gbs_affected_keys(spark, sf_dir):
     t = tables(spark, sf_dir)
     first = staging.stg_game_boxscore_status(_moved(t.games, BOX_T0), _known(t.team_box, "updated_at", BOX_T0),
                                              _known(t.date_status, "last_checked", BOX_T0))
-    path, target = _stored(spark, first, "gbs", "game_date")
+    path, target = _stored_by_month(spark, first, "gbs")
     fresh, gone = incremental.gbs_affected_keys(t.games, t.team_box, t.date_status, target, BOX_T0)
-    return merge.replace_in_partitions(spark, path, target.schema, fresh, ["game_date", "game_id"], "game_date", gone)
+    return _replaced(spark, path, target, fresh, ["game_date", "game_id"], gone)
 
 
 @query("top20_incremental")
@@ -427,6 +438,43 @@ def q_top20_incremental(spark, sf_dir):
     return merge.append_partitions(spark, new, path, ["cutoff_date"], first)
 
 
+# -- stored forms: full rebuild (K7), views (K8), changed columns on stored files (K11) --------------------
+
+@query("available_seasons_rebuilt")
+def q_available_seasons_rebuilt(spark, sf_dir):
+    """K7: a model stored by an earlier run is rebuilt in full; readers change to the new version when it is complete."""
+    t = tables(spark, sf_dir)
+    early = seasons.available_seasons(_before(t.games, "updated_at", BOX_T0), t.player_box)
+    path = scratch_path(spark, "available-seasons")
+    merge.rebuild(spark, early, path)
+    return merge.rebuild(spark, seasons.available_seasons(t.games, t.player_box), path)
+
+
+@query("daily_summary_by_views")
+def q_daily_summary_by_views(spark, sf_dir):
+    """K8: the staging models as views, read by name: games and loaded box scores of each date."""
+    t = tables(spark, sf_dir)
+    register_views({"stg_gamefinder_view": staging.stg_gamefinder(t.games),
+                    "stg_boxscores_view": staging.stg_boxscores(t.player_box, t.bench_box, t.team_box)})
+    return spark.sql("""
+        SELECT game_date, count(DISTINCT g.game_id) AS games, count(DISTINCT b.game_id) AS loaded, max(boxscore_loaded_at) AS last_loaded
+        FROM stg_gamefinder_view g LEFT JOIN stg_boxscores_view b ON b.game_id = g.game_id GROUP BY game_date""")
+
+
+@query("daily_columns_synced")
+def q_daily_columns_synced(spark, sf_dir):
+    """K11, ``sync_all_columns`` on stored files: the stored summary has a column that is gone since, lacks one that is
+    new, and counts in a narrower type. Only the months of the new days are rewritten; older files are read with the
+    new columns (null where they have none) and widened."""
+    t = tables(spark, sf_dir)
+    full = staging.stg_daily_game_summary(t.games, t.team_box)
+    old = full.select("game_date", F.col("games_count").cast("int").alias("games_count"), F.lit("v1").alias("layout"), "updated_at")
+    path, target = _stored_by_month(spark, old, "daily-v1")
+    fresh = full.filter(F.col("game_date") >= F.lit(BOX_T0).cast("date"))
+    return merge.replace_in_partitions(spark, path, target.schema, fresh, ["game_date"], "month", policy="sync_all_columns",
+                                       part=merge.month_of("game_date"))
+
+
 # -- data checks (D1-D7) -----------------------------------------------------------------------
 
 @query("dq_available_seasons")
@@ -489,11 +537,27 @@ def q_upsert_games(spark, sf_dir):
     """Target: the games dated before 2000 and those later ones that no response lists; batch: all
     landed responses. Together they hold every game."""
     t = tables(spark, sf_dir)
+    return streams.upsert_landed(_held_games(t), game_landing(t))
+
+
+def _held_games(t) -> DataFrame:
     listed = t.date_status.filter((F.col("status") != "no_games") & ~(
         (F.col("status") == "pending") & (F.dayofmonth("date") % 2 == 0))).select(F.col("date").cast("string").alias("game_date"))
     old, late = F.col("game_date") < UPSERT_TARGET_BEFORE, F.coalesce(F.col("game_date") >= UPSERT_TARGET_BEFORE, F.lit(True))
-    target = t.games.filter(old).unionByName(t.games.filter(late).join(listed, "game_date", "left_anti").select(*t.games.columns))
-    return streams.upsert_landed(target, game_landing(t))
+    return t.games.filter(old).unionByName(t.games.filter(late).join(listed, "game_date", "left_anti").select(*t.games.columns))
+
+
+@query("upsert_all_sets")
+def q_upsert_all_sets(spark, sf_dir):
+    """Every landed result set into its own table; the summaries have neither a declared schema nor a target. The
+    rows of all tables that result, under the names of all their columns (``min`` as text)."""
+    t = tables(spark, sf_dir)
+    held = {"games": _held_games(t), **{n: _before(getattr(t, n), "updated_at", BOX_T0) for n in ("player_box", "team_box", "bench_box")}}
+    out = None
+    for name, df in sorted(ingest.upsert_all(spark, held, _responses(t)).items()):
+        df = df.withColumns({"table_name": F.lit(name)} | ({"min": F.col("min").cast("string")} if "min" in df.columns else {}))
+        out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    return out
 
 
 @query("append_api_calls")
@@ -523,3 +587,13 @@ def q_games_upsert_stream(spark, sf_dir):
     target, ckpt = scratch_path(spark, "games-stream"), scratch_path(spark, "games-stream-ckpt")
     streams.run_to_end(streams.games_upsert_stream(spark, land, target, ckpt))
     return streams.current_games(spark, target)
+
+
+@query("catch_up_stream")
+def q_catch_up_stream(spark, sf_dir):
+    """M12 + I6: landed responses to stored games, then to the status of their dates, in one stream."""
+    t = tables(spark, sf_dir)
+    land, root, ckpt = (scratch_path(spark, n) for n in ("catch-up-landing", "catch-up", "catch-up-ckpt"))
+    game_landing(t).write.mode("overwrite").parquet(land)
+    streams.run_to_end(streams.catch_up_stream(spark, land, root, ckpt, t.date_status, QUEUE_AS_OF))
+    return streams.current_status(spark, root, t.date_status)

@@ -233,7 +233,8 @@ def box_landing(t: DriverTables) -> DataFrame:
     sets = []
     for name, table in landing.BOX_RESULT_SETS.items():
         df = getattr(t, table)
-        sets.append(df.groupBy("game_id").agg(F.collect_list(_record(df, schemas.SCHEMAS[table])).alias(name)))
+        listed = F.sort_array(F.collect_list(F.struct("id", _record(df, schemas.SCHEMAS[table]).alias("rec"))))
+        sets.append(df.groupBy("game_id").agg(listed.getField("rec").alias(name)))
     games = t.games.select("game_id").filter(F.col("game_id").isNotNull()).distinct()
     j = games
     for s in sets:

@@ -14,6 +14,8 @@ folder.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,7 +23,7 @@ from pyspark.sql import types as T
 from ..operators import merge
 from ..operators.dedupe import keep_preferred
 from ..operators.ranking import global_row_number
-from ..plans import staging
+from ..plans import backlog, staging
 from ..sources import landing, schemas
 
 GAME_KEYS = schemas.TABLE_KEYS["games"]
@@ -34,10 +36,14 @@ def _prepare(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
+def _batch_folder(path: str, stream: str, epoch_id: int) -> str:
+    return f"{path}/batch={stream}-{epoch_id:09d}"
+
+
 def add_versions(batch: DataFrame, epoch_id: int, path: str, stream: str) -> None:
     """Write a micro-batch into its own folder. A repeat of the same batch replaces that folder; batches
     of other streams, or of a stream started anew, have other names."""
-    batch.write.mode("overwrite").parquet(f"{path}/batch={stream}-{epoch_id:09d}")
+    batch.write.mode("overwrite").parquet(_batch_folder(path, stream, epoch_id))
 
 
 def versions(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -146,6 +152,61 @@ def current_games(spark: SparkSession, path: str) -> DataFrame:
     return global_row_number(found.drop("arrival", "batch"), GAME_KEYS, "id").select(*schemas.GAMES.names)
 
 
+# -- M12 + I6: the catch-up flow, one micro-batch into sinks that depend on each other -----------------
+
+RESPONSE_SCHEMA = T.StructType([T.StructField("date", T.DateType()), T.StructField("failed", T.BooleanType()),
+                                T.StructField("n_stored", T.LongType())])
+STATUS_VERSION_SCHEMA = T.StructType([*schemas.DATE_STATUS.fields, T.StructField("seen", T.LongType())])
+
+
+def catch_up_stream(spark: SparkSession, source: str, root: str, checkpoint: str, date_status: DataFrame, as_of: str,
+                    max_files_per_trigger: int | None = None, committed: Callable[[str], None] = lambda sink: None):
+    """Start the catch-up flow over landed game-list responses. A micro-batch writes, in this order, the game
+    versions, what of each response was stored (read back from the games' folder), and the status of the dates it
+    touched (from all responses stored so far). Each sink is a folder named by stream and batch, so a batch that was
+    lost between sinks is repeated whole without a trace, and no date is ``processed`` before its games are stored.
+    ``committed`` is told each sink's name after its folder is written."""
+    reader = spark.readStream.schema(schemas.LANDING)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    for part in ("games", "responses", "status"):
+        _prepare(spark, f"{root}/{part}")
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        session = batch.sparkSession
+        stream = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+        records = game_records(batch)
+        add_versions(keep_preferred(records, GAME_KEYS, last_arrival()), epoch_id, f"{root}/games", stream)
+        committed("games")
+        stored = session.read.schema(GAME_VERSION_SCHEMA).parquet(_batch_folder(f"{root}/games", stream, epoch_id))
+        kept = records.filter("game_id IS NOT NULL").join(stored.select(*GAME_KEYS).distinct(), GAME_KEYS, "left_semi") \
+            .groupBy(F.col("arrival.request_key").alias("request_key")).agg(F.count(F.lit(1)).alias("n_stored"))
+        asked = landing.payload_outcome(batch).groupBy("request_key").agg(F.max(F.col("outcome") == "error").alias("failed"))
+        asked.join(kept, "request_key", "left").select(
+            F.col("request_key").cast("date").alias("date"), "failed", F.coalesce("n_stored", F.lit(0)).alias("n_stored")) \
+            .write.mode("overwrite").parquet(_batch_folder(f"{root}/responses", stream, epoch_id))
+        committed("responses")
+        touched = session.read.schema(RESPONSE_SCHEMA).parquet(_batch_folder(f"{root}/responses", stream, epoch_id)).select("date").distinct()
+        seen = versions(session, f"{root}/responses", RESPONSE_SCHEMA).join(touched, "date", "left_semi").groupBy("date").agg(
+            F.max("failed").alias("failed"), F.sum("n_stored").alias("n"), F.count(F.lit(1)).alias("seen"))
+        outcome = F.when(F.col("failed"), F.lit("error")).when(F.col("n") == 0, F.lit("no_games")).otherwise(F.lit("processed"))
+        found = backlog.date_outcomes(seen.select("date", outcome.alias("outcome")), date_status)
+        status = backlog.update_status(date_status.join(touched, "date", "left_semi").select(*date_status.columns), found, as_of)
+        status.join(seen.select("date", "seen"), "date").select(*STATUS_VERSION_SCHEMA.names) \
+            .write.mode("overwrite").parquet(_batch_folder(f"{root}/status", stream, epoch_id))
+        committed("status")
+
+    return (reader.parquet(source).writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+            .trigger(availableNow=True).start())
+
+
+def current_status(spark: SparkSession, root: str, date_status: DataFrame) -> DataFrame:
+    """The work queue: of each date the status that has seen the most responses, else what it was."""
+    newest = keep_preferred(versions(spark, f"{root}/status", STATUS_VERSION_SCHEMA), ["date"], [F.col("seen").desc(), F.col("batch").desc()])
+    names = schemas.DATE_STATUS.names
+    return newest.select(*names).unionByName(date_status.select(*names).join(newest.select("date"), "date", "left_anti").select(*names))
+
+
 def upsert_landed(target: DataFrame, responses: DataFrame) -> DataFrame:
     """Batch form of the upsert: the last record of each key to arrive, merged into ``target``."""
     batch = keep_preferred(game_records(responses), GAME_KEYS, last_arrival()).drop("arrival")

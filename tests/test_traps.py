@@ -254,9 +254,11 @@ def test_affected_keys_follow_moved_and_unstamped_games(spark, tmp_path, stamp):
             ("gbs", status_, ["game_date", "game_id"], lambda: incremental.gbs_affected_keys(new, box, st, status_, t0),
              staging.stg_game_boxscore_status(new, box, st))):
         path = f"file://{tmp_path}/{name}"
-        target = merge.materialize_at(spark, first, path, ["game_date"])
+        target = merge.materialize_at(spark, first.withColumn("month", merge.month_of("game_date")), path, ["month"]).drop("month")
         fresh, gone = refreshed()
-        stored = merge.replace_in_partitions(spark, path, target.schema, fresh, keys, "game_date", gone)
+        stored = merge.replace_in_partitions(spark, path, target.schema, fresh, keys, "month", gone, part=merge.month_of("game_date"))
+        with pytest.raises(ValueError, match="key of the table"):
+            merge.replace_in_partitions(spark, path, target.schema, fresh, keys, "game_date", gone)
         assert rows(stored) == rows(full) and {str(r["game_date"]) for r in rows(full)} == {"2024-11-02", "2024-11-05", "2024-11-11"}
 
 
