@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -35,14 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
+_COLLECTED = [0.0]
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete the files of ``written`` tables that no later plan reads, and let the driver's JVM find out
     which exchanges are over, so that executors delete their files, too."""
     for df in tables:
         path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df.scratch)
         path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-    if tables:
+    if tables and time.monotonic() - _COLLECTED[0] > 5:
         tables[0].sparkSession._jvm.System.gc()
+        _COLLECTED[0] = time.monotonic()
 
 
 _HELD: ContextVar[tuple[list[DataFrame], ...]] = ContextVar("held", default=())
