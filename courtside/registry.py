@@ -265,7 +265,7 @@ def q_distinct_game_versions(spark, sf_dir):
 
 # -- backlog and work queue (M10-M15) ----------------------------------------------------------
 from .operators import checks, merge  # noqa: E402
-from .plans import backlog, incremental, ingest  # noqa: E402
+from .plans import backlog, daily_state, incremental, ingest  # noqa: E402
 from .sources import landing  # noqa: E402
 
 QUEUE_AS_OF = "2001-08-10 08:25:00"
@@ -380,6 +380,17 @@ def q_daily_incremental(spark, sf_dir):
     return _replaced(spark, path, target, batch, ["game_date"])
 
 
+@query("daily_incremental_state")
+def q_daily_incremental_state(spark, sf_dir):
+    """I2 with mergeable state: the counts of the rows before the mark are stored as bitmaps; the second run reads the
+    rows since the mark and the state of the days they touch."""
+    t = tables(spark, sf_dir)
+    state = daily_state.DailyState.start(spark, _before(t.games, "updated_at", BOX_T0), _before(t.team_box, "updated_at", BOX_T0))
+    since = F.col("updated_at") >= F.lit(BOX_T0).cast("timestamp_ntz")
+    state.add(t.games.filter(since), t.team_box.filter(since))
+    return state.summary()
+
+
 def _known(df, column: str, t0: str):
     """The state of a source before ``t0`` when rows never stamped arrive later."""
     return df.filter(F.col(column) < F.lit(t0).cast("timestamp_ntz"))
@@ -579,6 +590,14 @@ def q_apilogs_stream(spark, sf_dir):
     return streams.current_api_log(spark, target)
 
 
+@query("apilogs_dedup_stream")
+def q_apilogs_dedup_stream(spark, sf_dir):
+    """I1 with bounded state: repeats are dropped in the stream, rows are stored once and read as they are."""
+    target, ckpt = scratch_path(spark, "apilogs-dedup"), scratch_path(spark, "apilogs-dedup-ckpt")
+    streams.run_to_end(streams.api_log_dedup_stream(spark, sf_dir, target, ckpt, file_glob="events.parquet"))
+    return streams.appended_api_log(spark, target)
+
+
 @query("games_upsert_stream")
 def q_games_upsert_stream(spark, sf_dir):
     t = tables(spark, sf_dir)

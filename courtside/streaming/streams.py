@@ -78,8 +78,9 @@ EVENTS_SCHEMA = T.StructType([
 ])
 
 
-def api_calls_from_events(events: DataFrame) -> DataFrame:
+def api_calls_from_events(events: DataFrame, *more: str) -> DataFrame:
     return events.select(
+        *more,
         F.col("event_id").alias("id"), F.col("event_type").alias("endpoint"), F.col("ts").alias("call_time"),
         (F.col("event_type") != "error").alias("success"),
         F.when(F.col("event_type") == "error", F.col("props")).alias("error_message"))
@@ -113,6 +114,35 @@ def api_log_stream(spark: SparkSession, source: str, target_path: str, checkpoin
     return _start(staged, ["id"], _newest_call(), target_path, checkpoint)
 
 
+def api_log_dedup_stream(spark: SparkSession, source: str, target_path: str, checkpoint: str, bound: str = "7 days",
+                         max_files_per_trigger: int | None = None, file_glob: str | None = None):
+    """Start I1 with bounded state: a call id that lands again within ``bound`` of its first landing is dropped in the
+    stream (``dropDuplicatesWithinWatermark`` on the time its file landed, so no call is late because it is old) and
+    rows are appended once. State holds the ids of one ``bound``; a repeat after it is a row of its own, which readers
+    of ``current_api_log`` still fold."""
+    reader = spark.readStream.schema(EVENTS_SCHEMA)
+    if file_glob:
+        reader = reader.option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    landed = reader.parquet(source).select("*", F.col("_metadata.file_modification_time").alias("landed_at"))
+    calls = api_calls_from_events(landed, "landed_at").withWatermark("landed_at", bound).dropDuplicatesWithinWatermark(["id"])
+    staged = calls.select(
+        "id", "endpoint", "call_time", F.col("call_time").cast("date").alias("call_date"), "success", "error_message",
+        F.col("call_time").alias("updated_at"))
+    _prepare(spark, target_path)
+
+    def each(batch: DataFrame, epoch_id: int) -> None:
+        add_versions(batch, epoch_id, target_path, batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId"))
+
+    return (staged.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+
+
+def appended_api_log(spark: SparkSession, path: str) -> DataFrame:
+    """The rows that ``api_log_dedup_stream`` stored, as they are."""
+    return versions(spark, path, API_LOG_SCHEMA).select(*API_LOG_SCHEMA.names)
+
+
 def current_api_log(spark: SparkSession, path: str) -> DataFrame:
     """One row per call id, the newest version."""
     found = versions(spark, path, API_LOG_SCHEMA)

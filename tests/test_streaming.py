@@ -2,15 +2,18 @@
 
 import datetime as dt
 import json
+import os
 import tempfile
+from pathlib import Path
 
 import pytest
 
 from courtside.plans import staging
 from courtside.registry import tables
+from courtside.sources import schemas
 from courtside.sources.driver_fixtures import game_landing
 from courtside.streaming import streams
-from tests.conftest import rows
+from tests.conftest import make, rows
 
 
 def _land_events(spark, sf_dir, n_files):
@@ -93,3 +96,61 @@ def test_restated_call_keeps_one_row(spark, tmp_path):
     assert streams.versions(spark, tgt, streams.API_LOG_SCHEMA).count() == 2
     streams.compact(spark, tgt, streams.API_LOG_SCHEMA, ["id"], streams._newest_call(), f"file://{tmp_path}/small")
     assert streams.current_api_log(spark, f"file://{tmp_path}/small").collect() == got
+
+
+# -- the catch-up flow and the bounded log ---------------------------------------------------------------
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("sink", ["games", "responses", "status"])
+def test_catch_up_lost_between_sinks(spark, tmp_path, sink):
+    """A run that ends after a sink is repeated: same tables as a run that was never lost, and no date is
+    processed whose games are not stored."""
+    day = "2024-11-0{}"
+    rec = '{{"SEASON_ID": "22024", "TEAM_ID": 7, "GAME_ID": "g{}", "GAME_DATE": "{}"}}'
+    made = lambda k, body: ("LeagueGameFinder", day.format(k), body, dt.datetime(2024, 11, 9, k))
+    found = [made(1, '{"LeagueGameFinderResults": [%s]}' % rec.format(1, day.format(1))), made(2, '{"LeagueGameFinderResults": []}'), made(3, None),
+             made(4, '{"LeagueGameFinderResults": [%s, %s]}' % (rec.format(4, day.format(4)), rec.format(5, day.format(4))))]
+    status = make(spark, "date_status", [{"date": dt.date(2024, 11, k), "status": "pending", "retry_count": 0} for k in range(1, 6)])
+    for k, row in enumerate(found):
+        spark.createDataFrame([row], schemas.LANDING).write.mode("append").parquet(f"{tmp_path}/land")
+
+    def run(root, ckpt, committed=lambda s: None):
+        streams.run_to_end(streams.catch_up_stream(spark, f"file://{tmp_path}/land", f"file://{tmp_path}/{root}", f"file://{tmp_path}/{ckpt}",
+                                                   status, "2024-11-10 00:00:00", max_files_per_trigger=2, committed=committed))
+
+    state = lambda root: (sorted(map(str, streams.current_status(spark, f"file://{tmp_path}/{root}", status).collect())),
+                          sorted(map(str, streams.current_games(spark, f"file://{tmp_path}/{root}/games").collect())))
+    run("whole", "ckpt-whole")
+
+    def lose(name):
+        if name == sink:
+            raise Lost
+
+    with pytest.raises(Exception, match="Lost"):
+        run("lost", "ckpt-lost", lose)
+    half = streams.current_status(spark, f"file://{tmp_path}/lost", status).filter("status = 'processed'").select("date").collect()
+    stored = {r["game_date"] for r in streams.current_games(spark, f"file://{tmp_path}/lost/games").collect()}
+    assert {str(r["date"]) for r in half} <= stored
+    run("lost", "ckpt-lost")
+    assert state("lost") == state("whole")
+    got = {r["date"].day: r["status"] for r in streams.current_status(spark, f"file://{tmp_path}/lost", status).collect()}
+    assert got == {1: "processed", 2: "no_games", 3: "pending", 4: "processed", 5: "pending"}
+
+
+def test_repeats_inside_and_outside_the_bound(spark, tmp_path):
+    source, base = f"{tmp_path}/events", 1_700_000_000
+    call = lambda k, day: (k, dt.datetime(2024, 1, day), 1, "ok", 0.0, None)
+    # (landed after hours, calls): id 1 lands again after an hour, and after 25 days.
+    for hours, calls in ((0, [call(1, 1), call(2, 1), call(1, 1)]), (1, [call(1, 1), call(3, 2)]), (240, [call(4, 3)]), (480, [call(5, 1)]), (600, [call(1, 1)])):
+        spark.createDataFrame(calls, streams.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(source)
+        for f in Path(source).glob("*.parquet"):
+            if f.stat().st_mtime > base + 10_000_000:
+                os.utime(f, (base + hours * 3600, base + hours * 3600))
+    streams.run_to_end(streams.api_log_dedup_stream(spark, f"file://{source}", f"file://{tmp_path}/t", f"file://{tmp_path}/c", "7 days",
+                                                    max_files_per_trigger=1))
+    ids = sorted(r["id"] for r in streams.appended_api_log(spark, f"file://{tmp_path}/t").collect())
+    assert ids == [1, 1, 2, 3, 4, 5]
+    assert sorted(r["id"] for r in streams.current_api_log(spark, f"file://{tmp_path}/t").collect()) == [1, 2, 3, 4, 5]
