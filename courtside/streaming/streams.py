@@ -118,7 +118,8 @@ def api_log_dedup_stream(spark: SparkSession, source: str, target_path: str, che
                          max_files_per_trigger: int | None = None, file_glob: str | None = None):
     """Start I1 with bounded state: a call id that lands again within ``bound`` of its first landing is dropped in the
     stream (``dropDuplicatesWithinWatermark`` on the time its file landed, so no call is late because it is old) and
-    rows are appended once. State holds the ids of one ``bound``; a repeat after it is a row of its own, which readers
+    rows are appended once. State holds the ids of one ``bound``; a repeat after it (once a batch has moved the watermark
+    on) is a row of its own, which readers
     of ``current_api_log`` still fold."""
     reader = spark.readStream.schema(EVENTS_SCHEMA)
     if file_glob:

@@ -144,7 +144,7 @@ def test_repeats_inside_and_outside_the_bound(spark, tmp_path):
     source, base = f"{tmp_path}/events", 1_700_000_000
     call = lambda k, day: (k, dt.datetime(2024, 1, day), 1, "ok", 0.0, None)
     # (landed after hours, calls): id 1 lands again after an hour, and after 25 days.
-    for hours, calls in ((0, [call(1, 1), call(2, 1), call(1, 1)]), (1, [call(1, 1), call(3, 2)]), (240, [call(4, 3)]), (480, [call(5, 1)]), (600, [call(1, 1)])):
+    for hours, calls in ((0, [call(1, 1), call(2, 1), call(1, 1)]), (1, [call(1, 1), call(3, 2)]), (240, [call(4, 3)]), (480, [call(5, 1)]), (500, [call(6, 1)]), (600, [call(1, 1)])):
         spark.createDataFrame(calls, streams.EVENTS_SCHEMA).coalesce(1).write.mode("append").parquet(source)
         for f in Path(source).glob("*.parquet"):
             if f.stat().st_mtime > base + 10_000_000:
@@ -152,5 +152,5 @@ def test_repeats_inside_and_outside_the_bound(spark, tmp_path):
     streams.run_to_end(streams.api_log_dedup_stream(spark, f"file://{source}", f"file://{tmp_path}/t", f"file://{tmp_path}/c", "7 days",
                                                     max_files_per_trigger=1))
     ids = sorted(r["id"] for r in streams.appended_api_log(spark, f"file://{tmp_path}/t").collect())
-    assert ids == [1, 1, 2, 3, 4, 5]
-    assert sorted(r["id"] for r in streams.current_api_log(spark, f"file://{tmp_path}/t").collect()) == [1, 2, 3, 4, 5]
+    assert ids == [1, 1, 2, 3, 4, 5, 6]
+    assert sorted(r["id"] for r in streams.current_api_log(spark, f"file://{tmp_path}/t").collect()) == [1, 2, 3, 4, 5, 6]
