@@ -13,10 +13,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from .merge import materialize
+from .merge import materialize, materialize_at
 
 
 @dataclass(frozen=True)
@@ -77,6 +77,37 @@ def run_checks(df: DataFrame, rules: list[Rule]) -> DataFrame:
     return out
 
 
+def write_checked(df: DataFrame, rules: list[Rule], path: str) -> tuple[DataFrame, DataFrame]:
+    """Store ``df`` at ``path`` and check it on the way: ``(stored table, rows as run_checks)``.
+
+    NULLs are counted by the write itself (``DataFrame.observe``); all uniqueness and accepted-value rules come from
+    one GROUPING SETS pass over the stored columns, one set of columns each, with partial aggregation before the
+    shuffle. The model's plan runs once and the stored table is read once, however many rules there are."""
+    spark, seen = df.sparkSession, Observation()
+    nulls = [r for r in rules if r.kind == "not_null"]
+    counted = [F.count_if(F.col(r.columns[0]).isNull()).alias(f"c{k}") for k, r in enumerate(nulls)]
+    stored = materialize_at(spark, df.observe(seen, F.count(F.lit(1)).alias("rows"), *counted), path)
+    found = [F.struct(F.lit(r.kind).alias("rule"), F.lit(r.label).alias("column_name"), F.lit(seen.get[f"c{k}"]).cast("bigint").alias("failures"))
+             for k, r in enumerate(nulls)]
+    others = [r for r in rules if r.kind != "not_null"]
+    if not others:
+        return stored, spark.range(1).select(F.explode(F.array(*found)).alias("s")).select("s.*")
+    sets = sorted({r.columns for r in others})
+    cols = sorted({c for s in sets for c in s})
+    grouped = stored.groupingSets([list(s) for s in sets], *cols).agg(F.count(F.lit(1)).alias("_n"), F.grouping_id().alias("_set"))
+    # A column that is not in the set has its bit in the grouping id.
+    number = {s: sum(1 << (len(cols) - 1 - k) for k, c in enumerate(cols) if c not in s) for s in sets}
+    failures = []
+    for k, r in enumerate(others):
+        c = F.col(r.columns[0])
+        bad = {"unique": (F.col("_n") > 1) & c.isNotNull(), "unique_combination": F.col("_n") > 1,
+               "accepted_values": c.isNotNull() & ~c.cast("string").isin(*r.values)}[r.kind]
+        failures.append(F.count_if((F.col("_set") == number[r.columns]) & bad).alias(f"f{k}"))
+    found += [F.struct(F.lit(r.kind).alias("rule"), F.lit(r.label).alias("column_name"), F.col(f"f{k}").cast("bigint").alias("failures"))
+              for k, r in enumerate(others)]
+    return stored, grouped.agg(*failures).select(F.explode(F.array(*found)).alias("s")).select("s.*")
+
+
 # ---------------------------------------------------------------------------------------------
 # The declared checks of the models.
 SEASON_PARTS = ["1", "2", "3", "4", "5", "6"]

@@ -499,6 +499,22 @@ def q_dq_top20(spark, sf_dir):
     return checks.run_checks(LB.top20_by_metric(inputs(tables(spark, sf_dir)), PARAMS), checks.TOP20_RULES)
 
 
+@query("dq_available_seasons_observed")
+def q_dq_available_seasons_observed(spark, sf_dir):
+    """D1, D2, D4 while the model is written."""
+    t = tables(spark, sf_dir)
+    model = seasons.available_seasons(t.games, t.player_box)
+    return checks.write_checked(model, checks.AVAILABLE_SEASONS_RULES, scratch_path(spark, "seasons-checked"))[1]
+
+
+@query("dq_game_boxscore_status_observed")
+def q_dq_game_boxscore_status_observed(spark, sf_dir):
+    """D1, D3/D6 while the model is written."""
+    t = tables(spark, sf_dir)
+    model = staging.stg_game_boxscore_status(t.games, t.team_box, t.date_status)
+    return checks.write_checked(model, checks.BOX_STATUS_RULES, scratch_path(spark, "gbs-checked"))[1]
+
+
 @query("dq_api_call_logs")
 def q_dq_api_call_logs(spark, sf_dir):
     return checks.run_checks(staging.stg_api_call_logs(tables(spark, sf_dir).api_calls), checks.API_LOG_RULES)

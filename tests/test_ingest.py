@@ -76,3 +76,15 @@ def test_daily_state_equals_a_full_refresh(spark):
             state.add(make(spark, "games", games[k - 1]), make(spark, "team_box", boxes[k - 1]))
         full = staging.stg_daily_game_summary(make_all(games, k, "games"), make_all(boxes, k, "team_box"))
         assert rows(state.summary()) == rows(full), k
+
+
+def test_checks_in_the_write_equal_the_plain_ones(spark, tmp_path):
+    from courtside.operators import checks as C
+
+    df = spark.createDataFrame([(1, "a", "x"), (1, "b", None), (None, "a", "x"), (None, "a", "y"), (2, None, "z"), (2, None, "z")],
+                               "id int, part string, kind string")
+    rules = [*C.not_null("id", "part"), C.unique("id"), C.unique("kind"), C.unique_combination("id", "part"),
+             C.unique_combination("part", "kind"), C.accepted_values("kind", ["x"]), C.accepted_values("id", ["1", "2"])]
+    stored, found = C.write_checked(df, rules, f"file://{tmp_path}/t")
+    assert rows(found) == rows(C.run_checks(df, rules)) and rows(stored) == rows(df)
+    assert rows(C.write_checked(df, C.not_null("id"), f"file://{tmp_path}/u")[1]) == rows(C.run_checks(df, C.not_null("id")))
