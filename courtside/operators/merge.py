@@ -64,17 +64,15 @@ def replace_in_partitions(spark: SparkSession, path: str, schema: T.StructType,
     batch = cut_lineage(batch)
     dead = batch.select(*keys) if gone is None else batch.select(*keys).unionByName(gone.select(*keys))
     dead = cut_lineage(dead.distinct())
-    hit = target.join(dead, keys, "left_semi").select(partition_by)
-    touched = cut_lineage(hit.union(batch.select(partition_by)).distinct())
-    same = F.col(partition_by).eqNullSafe(F.col("_part"))
-    kept = target.join(touched.withColumnRenamed(partition_by, "_part"), same, "left_semi").join(dead, keys, "left_anti")
+    # Partition values of one run: days or months of the calendar. As literals they prune the folders that are read.
+    found = lambda df: {r[0] for r in df.select(partition_by).distinct().collect()}
+    touched = found(target.join(dead, keys, "left_semi").select(partition_by).union(batch.select(partition_by)))
+    here = F.col(partition_by).isin([v for v in touched if v is not None])
+    kept = target.filter(here | F.col(partition_by).isNull() if None in touched else here).join(dead, keys, "left_anti")
     new = cut_lineage(kept.unionByName(batch))
     (new.hint("rebalance", partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_by).parquet(path))
-    left = new.select(F.col(partition_by).alias("_part")).distinct()
-    # Partition values of one run: days or months of the calendar.
-    for row in touched.join(left, same, "left_anti").collect():
-        folder = spark._jvm.org.apache.hadoop.fs.Path(
-            f"{path}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if row[0] is None else row[0]}")
+    for value in touched - found(new):
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{partition_by}={'__HIVE_DEFAULT_PARTITION__' if value is None else value}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return spark.read.schema(batch.schema).parquet(path).select(*names)
 
