@@ -275,6 +275,7 @@ UPSERT_TARGET_BEFORE = "2000-01-01"
 API_T0 = "2024-01-20 00:00:00"
 BOX_T0 = "1998-01-01 00:00:00"
 TOP20_FIRST_RUN_BEFORE = "2001-07-01"
+BOX_BOUND, CLOCK = "14 days", "2010-01-01 00:00:00"
 
 
 @query("populate_pending_dates")
@@ -632,3 +633,21 @@ def q_catch_up_stream(spark, sf_dir):
     game_landing(t).write.mode("overwrite").parquet(land)
     streams.run_to_end(streams.catch_up_stream(spark, land, root, ckpt, t.date_status, QUEUE_AS_OF))
     return streams.current_status(spark, root, t.date_status)
+
+
+@query("gbs_stream")
+def q_gbs_stream(spark, sf_dir):
+    """Games land the day after they are played, their boxes up to a week later; then both inputs' clocks move on."""
+    t = tables(spark, sf_dir)
+    games, boxes, target, ckpt = (scratch_path(spark, f"gbs-stream-{n}") for n in ("games", "boxes", "seen", "ckpt"))
+    next_day = F.col("game_date").cast("timestamp") + F.expr("INTERVAL 1 DAY")
+    played = t.games.select("game_id", "game_date").distinct()
+    landed_games = t.games.withColumn("landed_at", next_day)
+    landed_boxes = t.team_box.join(played, "game_id", "left").withColumn(
+        "landed_at", F.coalesce(next_day, F.col("updated_at").cast("timestamp")) + F.make_dt_interval((F.col("id") % 8).cast("int")))
+    clock = spark.range(1).select(F.lit(CLOCK).cast("timestamp").alias("landed_at"), F.lit(True).alias("clock"))
+    for df, schema, path in ((landed_games, streams.GAMES_LANDED, games), (landed_boxes, streams.BOXES_LANDED, boxes)):
+        df.withColumn("clock", F.lit(False)).select(*schema.names).unionByName(clock, allowMissingColumns=True) \
+            .write.mode("overwrite").parquet(path)
+    streams.run_to_end(streams.box_status_stream(spark, games, boxes, target, ckpt, BOX_BOUND))
+    return streams.current_box_status(spark, target, t.date_status)

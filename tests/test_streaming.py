@@ -154,3 +154,46 @@ def test_repeats_inside_and_outside_the_bound(spark, tmp_path):
     ids = sorted(r["id"] for r in streams.appended_api_log(spark, f"file://{tmp_path}/t").collect())
     assert ids == [1, 1, 2, 3, 4, 5, 6]
     assert sorted(r["id"] for r in streams.current_api_log(spark, f"file://{tmp_path}/t").collect()) == [1, 2, 3, 4, 5, 6]
+
+
+# -- box status from two streams -------------------------------------------------------------------------
+
+def _land(spark, folder, schema, rows):
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(folder)
+
+
+@pytest.mark.parametrize("per_trigger", [None, 1])
+def test_box_status_of_two_streams(spark, tmp_path, per_trigger):
+    """A box before, after, twice and never; games again, without an id, on a date without status."""
+    at = lambda day: dt.datetime(2024, 11, day)
+    games, boxes = f"{tmp_path}/games", f"{tmp_path}/boxes"
+    game = lambda g, day, landed: (g, f"2024-11-{day:02d}", at(day), at(landed), False)
+    _land(spark, games, streams.GAMES_LANDED, [game("before", 2, 3), game("after", 2, 3), game("never", 2, 3), game("never", 2, 3)])
+    _land(spark, boxes, streams.BOXES_LANDED, [("before", at(1), at(1), False), ("nobody", at(1), at(1), False)])
+    _land(spark, games, streams.GAMES_LANDED, [game("twice", 3, 4), ("after", "2024-11-02", at(4), at(4), False), (None, "2024-11-03", None, at(4), False)])
+    _land(spark, boxes, streams.BOXES_LANDED, [("after", at(5), at(5), False), ("twice", at(5), at(5), False), ("twice", at(6), at(6), False)])
+    _land(spark, games, streams.GAMES_LANDED, [(None, None, None, at(25), True)])
+    _land(spark, boxes, streams.BOXES_LANDED, [(None, None, at(25), True)])
+    status = make(spark, "date_status", [{"date": dt.date(2024, 11, 2), "status": "processed", "retry_count": 2, "last_checked": at(3)}])
+
+    def run():
+        streams.run_to_end(streams.box_status_stream(spark, f"file://{games}", f"file://{boxes}", f"file://{tmp_path}/t", f"file://{tmp_path}/c",
+                                                     "10 days", "1 hour", max_files_per_trigger=per_trigger))
+        return sorted((r["game_id"] or "", r["has_boxscore"], r["retry_count"], r["updated_at"] and r["updated_at"].day)
+                      for r in streams.current_box_status(spark, f"file://{tmp_path}/t", status).collect())
+
+    whole = [("", False, 0, None), ("after", True, 2, 5), ("before", True, 2, 3), ("never", False, 2, 3),
+             ("twice", True, 0, 5), ("twice", True, 0, 6)]
+    assert run() == whole
+    # Late: a box after its game's bound, and a game stamped long before the newest one. Neither changes the table.
+    _land(spark, boxes, streams.BOXES_LANDED, [("never", at(26), at(26), False)])
+    _land(spark, games, streams.GAMES_LANDED, [game("long ago", 2, 3)])
+    assert run() == whole
+
+
+def test_box_status_streams_without_rows(spark, tmp_path):
+    for name, schema in (("games", streams.GAMES_LANDED), ("boxes", streams.BOXES_LANDED)):
+        spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{name}")
+    streams.run_to_end(streams.box_status_stream(spark, f"file://{tmp_path}/games", f"file://{tmp_path}/boxes", f"file://{tmp_path}/t",
+                                                 f"file://{tmp_path}/c"))
+    assert streams.current_box_status(spark, f"file://{tmp_path}/t", make(spark, "date_status", [])).count() == 0
