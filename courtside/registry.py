@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from .functions import expressions as X
 from .operators import dedupe
+from .operators.joins import dimension
 from .plans import leaderboard as LB
 from .plans import seasons, staging
 from .session import scratch_path
 from .sources.driver_fixtures import DriverTables, box_landing, game_landing, summary_landing
-from .sources.tables import register_views
+from .sources.tables import register_views, store_bucketed
 
 # Parameters of the registered queries on the driver's data (FIXTURES.md).
 START_DATE = "2001-06-01"
@@ -275,6 +276,7 @@ UPSERT_TARGET_BEFORE = "2000-01-01"
 API_T0 = "2024-01-20 00:00:00"
 BOX_T0 = "1998-01-01 00:00:00"
 TOP20_FIRST_RUN_BEFORE = "2001-07-01"
+GAME_BUCKETS = 16
 BOX_BOUND, CLOCK = "14 days", "2010-01-01 00:00:00"
 
 
@@ -487,6 +489,34 @@ def q_daily_columns_synced(spark, sf_dir):
                                        part=merge.month_of("game_date"))
 
 
+def colocated(spark, t: DriverTables, *names: str) -> dict[str, DataFrame]:
+    """Raw tables stored in buckets of ``game_id``."""
+    out = {}
+    for name in names:
+        path = scratch_path(spark, f"{name}-by-game")
+        out[name] = store_bucketed(getattr(t, name), path.rsplit("/", 1)[1].replace("-", "_"), "game_id", path, GAME_BUCKETS)
+    return out
+
+
+@query("player_games_colocated")
+def q_player_games_colocated(spark, sf_dir):
+    """J1 over tables in buckets of ``game_id``: neither the dedupes nor the join exchange rows by game."""
+    stored = colocated(spark, tables(spark, sf_dir), "games", "player_box")
+    games = dedupe.canonical_games(stored["games"])
+    # Seasons: counted, and broadcast under the helper's bound, so that games are not dealt by season.
+    latest = dimension(LB.season_latest_dates(games))
+    pgm = LB.player_games_with_meta(LB.player_game_facts(stored["player_box"]), games, F.broadcast(latest.df) if latest.small else latest.df)
+    return pgm.drop("minutes_sec").select("*", X.minutes_decimal("min_str").alias("minutes_dec"))
+
+
+@query("gbs_colocated")
+def q_gbs_colocated(spark, sf_dir):
+    """M5 (J5, J6) over tables in buckets of ``game_id``."""
+    t = tables(spark, sf_dir)
+    stored = colocated(spark, t, "games", "team_box")
+    return staging.stg_game_boxscore_status(stored["games"], stored["team_box"], t.date_status)
+
+
 # -- data checks (D1-D7) -----------------------------------------------------------------------
 
 @query("dq_available_seasons")

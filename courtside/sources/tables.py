@@ -46,6 +46,19 @@ def distinct_game_ids(spark: SparkSession, table: DataFrame | str | None) -> Dat
     return table.select(F.col("game_id").cast("string")).filter(F.col("game_id").isNotNull()).distinct()
 
 
+def store_bucketed(df: DataFrame, name: str, key: str, path: str, buckets: int) -> DataFrame:
+    """Store ``df`` as the catalog table ``name`` at ``path``, bucketed and sorted by ``key``, and read it back.
+
+    Tables of equal ``buckets`` are joined, grouped and deduplicated by ``key`` (or by more columns that hold it)
+    without an exchange: the shuffle is paid once, when a table is stored. Rows are dealt by ``key`` first, so that
+    a bucket is one file; choose ``buckets`` so that this file is some hundred MB. For keys with few rows each, as a
+    game's lines are: a key's rows, and all rows without a key, share one bucket.
+    """
+    (df.repartition(buckets, key).write.mode("errorifexists").format("parquet").option("path", path)
+     .bucketBy(buckets, key).sortBy(key).saveAsTable(name))
+    return df.sparkSession.table(name)
+
+
 def register_views(tables: dict[str, DataFrame]) -> None:
     """K8: expose models as temporary views (``materialized='view'``)."""
     for name, df in tables.items():

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from courtside.operators import dedupe
 from courtside.operators.joins import Dimension, join_dimension
 from courtside.plans import leaderboard as LB
-from courtside.registry import PARAMS, inputs, tables
+from courtside.plans import staging
+from courtside.registry import PARAMS, QUERIES, colocated, inputs, tables
 
 
 def _plan(df) -> str:
@@ -61,3 +62,24 @@ def test_clock_is_utc_whatever_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
     assert abs((got - dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)).total_seconds()) < 120
+
+
+@pytest.mark.parametrize("name, joins", [("player_games_colocated", 1), ("gbs_colocated", 1)])
+def test_tables_in_buckets_meet_without_an_exchange_by_game(spark, sf_dir, name, joins):
+    """With joins left to sorting, as on tables that are too large to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(QUERIES[name](spark, sf_dir))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") >= joins and "Bucketed: true" in plan
+    assert "hashpartitioning(game_id" not in plan
+
+
+def test_buckets_keep_every_row(spark, sf_dir):
+    t = tables(spark, sf_dir)
+    games = t.games.withColumn("game_id", F.when(F.col("id") % 9 > 0, F.col("game_id")))  # some without an id
+    stored = colocated(spark, type("T", (), {"games": games, "none": games.limit(0)}), "games", "none")
+    assert stored["none"].count() == 0 and stored["games"].count() == games.count()
+    assert stored["games"].exceptAll(games).isEmpty() and len(stored["games"].inputFiles()) <= 16
