@@ -29,6 +29,14 @@ def apilogs_batch(api_calls: DataFrame, target: DataFrame | None) -> DataFrame:
     return staging.stg_api_call_logs(api_calls, None if target is None else high_water_mark(target))
 
 
+def apilogs_batch_by_day(stored_calls: DataFrame, target: DataFrame) -> DataFrame:
+    """I1 over calls that are stored in folders of ``call_date``: the mark's day, a scalar subquery on the partition
+    column, leaves all earlier folders unread, and the mark itself cuts within that day. The rows of ``apilogs_batch``
+    (a call without a time passes neither test)."""
+    mark = high_water_mark(target)
+    return staging.stg_api_call_logs(stored_calls.filter(F.col("call_date") >= mark.cast("date")).drop("call_date"), mark)
+
+
 def daily_batch(games: DataFrame, team_box: DataFrame, target: DataFrame | None) -> DataFrame:
     """I2 faithful, the days to store: both inputs cut at the mark, days rebuilt from new rows only."""
     return staging.stg_daily_game_summary(games, team_box, None if target is None else high_water_mark(target))

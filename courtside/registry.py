@@ -370,6 +370,21 @@ def q_apilogs_incremental(spark, sf_dir):
     return merge.replace_in_partitions(spark, path, target.schema, batch, ["id"], "call_date")
 
 
+def _apilogs_by_day(spark, t) -> tuple[str, DataFrame, DataFrame]:
+    """The log stored by a first run, and the second run's batch from calls stored by day."""
+    first = incremental.apilogs_batch(_before(t.api_calls, "call_time", API_T0), None)
+    path, target = _stored(spark, first, "apilogs", "call_date")
+    _, calls = _stored(spark, t.api_calls.withColumn("call_date", F.col("call_time").cast("date")), "api-calls-by-day", "call_date")
+    return path, target, incremental.apilogs_batch_by_day(calls, target)
+
+
+@query("apilogs_incremental_by_day")
+def q_apilogs_incremental_by_day(spark, sf_dir):
+    """The mark prunes the folders of the input."""
+    path, target, batch = _apilogs_by_day(spark, tables(spark, sf_dir))
+    return merge.replace_in_partitions(spark, path, target.schema, batch, ["id"], "call_date")
+
+
 def _daily_first(spark, t):
     return _stored_by_month(spark, incremental.daily_batch(_before(t.games, "updated_at", BOX_T0),
                                                            _before(t.team_box, "updated_at", BOX_T0), None), "daily")

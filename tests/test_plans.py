@@ -1,6 +1,8 @@
 """Plan-shape guards for the scale properties the design relies on."""
 
 import datetime as dt
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +10,8 @@ from pyspark.sql import functions as F
 from courtside.operators import dedupe
 from courtside.operators.joins import Dimension, join_dimension
 from courtside.plans import leaderboard as LB
-from courtside.plans import staging
-from courtside.registry import PARAMS, QUERIES, colocated, inputs, tables
+from courtside.plans import incremental
+from courtside.registry import PARAMS, QUERIES, _apilogs_by_day, colocated, inputs, tables
 
 
 def _plan(df) -> str:
@@ -83,3 +85,20 @@ def test_buckets_keep_every_row(spark, sf_dir):
     stored = colocated(spark, type("T", (), {"games": games, "none": games.limit(0)}), "games", "none")
     assert stored["none"].count() == 0 and stored["games"].count() == games.count()
     assert stored["games"].exceptAll(games).isEmpty() and len(stored["games"].inputFiles()) <= 16
+
+
+def test_the_mark_prunes_the_folders_of_the_input(spark, sf_dir):
+    _, target, batch = _apilogs_by_day(spark, tables(spark, sf_dir))
+    calls = tables(spark, sf_dir).api_calls
+    plain = incremental.apilogs_batch(calls, target)
+    assert sorted(map(str, batch.collect())) == sorted(map(str, plain.collect()))
+    # Files of the days before the mark are unreadable from now on: they are not opened.
+    mark = str(target.agg(F.max("updated_at")).first()[0].date())
+    files = {f: re.search("call_date=([^/]*)", f)[1] for f in batch.inputFiles()}
+    early = [f for f, day in files.items() if day < mark]
+    assert 0 < len(early) < len(files)
+    for f in early:
+        Path(f.removeprefix("file:")).write_bytes(b"not a table")
+    assert sorted(map(str, batch.select("*").collect())) == sorted(map(str, plain.collect()))
+    with pytest.raises(Exception, match="(?i)parquet|checksum|file"):
+        spark.read.schema(calls.schema).parquet(early[0]).collect()
