@@ -75,11 +75,13 @@ class DriverTables:
     def player_box(self) -> DataFrame:
         li = self._read("lineitem").select(
             "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
-            "l_discount", "l_tax", "l_shipdate")
-        # Surrogate id: order key * 1000 + position of the line inside its order (at most 7 lines).
-        w = Window.partitionBy("l_orderkey").orderBy(
+            "l_discount", "l_tax", "l_shipdate").withColumn("game_id", F.col("l_orderkey").cast("string"))
+        # Surrogate id: order key * 1000 + position of the line inside its order (at most 7 lines). Numbered first, so
+        # that the lines are dealt as they are read, not as the many columns made of them.
+        w = Window.partitionBy("game_id").orderBy(
             "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
             "l_tax", "l_shipdate")
+        li = li.withColumn("position", F.row_number().over(w))
         q = F.col("l_quantity").cast("int").cast("string")
         line = F.col("l_linenumber")
         minutes = (F.when(_mod("l_partkey", 37) == 0, F.lit(None).cast("string"))
@@ -91,8 +93,8 @@ class DriverTables:
         oreb = F.round(F.col("l_tax") * 100).cast("bigint")
         dreb = line.cast("bigint")
         out = li.select(
-            (F.col("l_orderkey") * 1000 + F.row_number().over(w)).cast("bigint").alias("id"),
-            F.col("l_orderkey").cast("string").alias("game_id"),
+            (F.col("l_orderkey") * 1000 + F.col("position")).cast("bigint").alias("id"),
+            "game_id",
             (_mod("l_partkey", 30) + 1).cast("bigint").alias("team_id"),
             F.col("l_suppkey").cast("bigint").alias("player_id"),
             F.concat(F.lit("player-"), F.col("l_suppkey").cast("string"),
