@@ -6,11 +6,12 @@ aggregates -> unpivot to 20 metrics -> rank -> keep top k.
 
 Three interchangeable forms compute the aggregates (all give the same rows):
 
-* ``direct``   - every cutoff against every game row, window test on each pair, final
-                 window filter after the aggregate. Reference form; grows as games x cutoffs.
+* ``direct``   - every cutoff against every season, the reference's window test on each pair, its final
+                 window filter on the pairs that pass.
 * ``windowed`` - the window ``[latest - max(365, N), latest + N]`` is applied to
                  (season, cutoff) pairs before touching game rows (rewrite R1), and the
-                 pairs are joined on season.
+                 pairs are joined on season. Like ``direct`` it adds up a player's games between two
+                 cutoffs before they meet the pairs.
 * ``running``  - (default) aggregate once per (season, player, date), take running
                  totals over the player's dates, and look up the cutoffs that each date
                  interval holds in the season's calendar (rewrite R2). Rows become
@@ -42,6 +43,8 @@ SEASON_WINDOW_DAYS = 365
 RECENCY_DAYS = 10
 START_DATE = "2025-04-01"
 MAX_RANK = 20
+#   The part of the players, one in so many, whose k-th row bounds a leaderboard (any value gives the same rows).
+ONE_IN = 64
 # ---------------------------------------------------------------------------------------------
 
 METRIC_NAMES = [f"avg_{m}" for m in AVG_METRICS] + COUNT_METRICS
@@ -184,19 +187,20 @@ def _finish(grouped: DataFrame) -> DataFrame:
 
 
 def aggregates_direct(pgm: DataFrame, cutoffs: DataFrame, latest: DataFrame, p: Params) -> DataFrame:
-    """Reference form: all (game row, cutoff) pairs passing the OR window; final filter afterwards.
+    """Reference form: the OR window tests every (season, cutoff) pair, the final filter drops some of them again.
 
     The window depends on the season alone, so each season first meets the cutoffs from a year
-    before its latest date to the last one of all; no pair outside it is formed.
+    before its latest date to the last one of all; no pair outside it is formed. The final filter, too,
+    sees nothing but the pair: it is applied to the pairs, since the totals of a pair that it drops
+    (every finished season, at every later cutoff) would be formed for nothing.
     """
     d = F.col("latest_season_game_date")
     end = cutoffs.select(F.max("cutoff_date")).scalar()
     days = season_days(latest, F.date_sub(d, max(SEASON_WINDOW_DAYS, p.recency_days)), end)
     in_window = ((F.col("cutoff_date") >= F.date_sub(d, p.recency_days))
                  | F.col("cutoff_date").between(F.date_sub(d, SEASON_WINDOW_DAYS), F.date_sub(d, 1)))
-    pairs = days.filter(in_window).join(cutoffs, "cutoff_date")
-    grouped = scoped_player_games(pgm, pairs).groupBy("cutoff_date", "season_id", "player_id").agg(*_group_aggs())
-    return _finish(grouped).filter(F.col("latest_season_game_date") >= F.date_sub("cutoff_date", p.recency_days))
+    final = d >= F.date_sub("cutoff_date", p.recency_days)
+    return aggregates_windowed(pgm, days.filter(in_window).join(cutoffs, "cutoff_date").filter(final))
 
 
 def scoped_player_games(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -206,9 +210,35 @@ def scoped_player_games(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     return pgm.join(pairs, cond).drop("p_season")
 
 
+def place(day: str) -> Column:
+    """How many cutoffs of a season's calendar lie before a day."""
+    return (F.when(F.col(day) <= F.col("first_cutoff"), 0).when(F.col(day) > F.col("last_cutoff"), F.size("cutoffs"))
+            .otherwise(F.get("before", F.date_diff(day, "first_cutoff"))))
+
+
+# Columns of ``_group_aggs`` that add up over groups.
+ADDITIVE = ["n_games", "min_sum", "min_n", *[f"sum_{s}" for s in INT_STATS],
+            *[f"n_{s}" for s in INT_STATS], *[f"t_{c}" for c in COUNT_METRICS]]
+
+
 def aggregates_windowed(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
-    scoped = scoped_player_games(pgm, pairs)
-    return _finish(scoped.groupBy("cutoff_date", "season_id", "player_id").agg(*_group_aggs()))
+    """Totals of each pair over the games up to its cutoff. Games of a player that the same cutoff is
+    the first to see count in the same pairs: they are added up before they meet the pairs. All that follows
+    stays where (season, player) was dealt, and the totals have no text among them, so that they are hashed:
+    a name stands as its place among the player's names of the season."""
+    calendar = F.broadcast(season_calendar(pairs))  # a row for each season
+    first_seen = pgm.join(calendar, "season_id").withColumn("seen", F.get("cutoffs", place("game_date")))
+    dealt = first_seen.filter("seen IS NOT NULL").drop(*[c for c in calendar.columns if c != "season_id"]).repartition("season_id", "player_id")
+    parts = dealt.groupBy("season_id", "player_id", "seen").agg(*_group_aggs())
+    w = Window.partitionBy("season_id", "player_id")
+    parts = parts.withColumn("names", F.sort_array(F.collect_set("player_name").over(w)))
+    parts = parts.withColumn("name", F.array_position("names", F.col("player_name"))).drop("player_name")
+    of = F.broadcast(pairs.select(F.col("season_id").alias("p_season"), "cutoff_date"))  # seasons and days are few
+    scoped = parts.join(of, (F.col("season_id") == F.col("p_season")) & (F.col("seen") <= F.col("cutoff_date")))
+    totals = scoped.groupBy("cutoff_date", "season_id", "player_id", "names").agg(
+        F.min("name").alias("name"), F.max_by("team_id", "seen").alias("team_id"), F.max("last_date").alias("last_date"),
+        F.max("latest_season_game_date").alias("latest_season_game_date"), *[F.sum(c).alias(c) for c in ADDITIVE])
+    return _finish(totals.withColumn("player_name", F.get("names", F.col("name").cast("int") - 1)))
 
 
 def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -216,26 +246,20 @@ def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     season, so games played = number of rows. A player's totals as of a date hold for the cutoffs
     from that date to the day before the next one: their places in the season's calendar are looked
     up by day, so only cutoffs that are hit are formed."""
-    daily = pgm.groupBy("season_id", "player_id", "game_date").agg(*_group_aggs())
+    # Dealt once for the totals of a date and the window: a player has few games on a date to add up before.
+    daily = pgm.repartition("season_id", "player_id").groupBy("season_id", "player_id", "game_date").agg(*_group_aggs())
     # At most one row per calendar day of a season per player: the window never holds more
     # than a season's worth of dates, whatever the skew of players or teams.
     w = Window.partitionBy("season_id", "player_id").orderBy("game_date")
     run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    additive = ["n_games", "min_sum", "min_n", *[f"sum_{s}" for s in INT_STATS],
-                *[f"n_{s}" for s in INT_STATS], *[f"t_{c}" for c in COUNT_METRICS]]
     running = daily.select(
         "season_id", "player_id", "game_date", "team_id", "latest_season_game_date",
         F.lead("game_date").over(w).alias("next_date"),
         F.min("player_name").over(run).alias("player_name"),
-        *[F.sum(c).over(run).alias(c) for c in additive],
+        *[F.sum(c).over(run).alias(c) for c in ADDITIVE],
     ).filter("game_date IS NOT NULL")
 
-    def place(day: str) -> Column:
-        """How many cutoffs of the season lie before a day."""
-        return (F.when(F.col(day) <= F.col("first_cutoff"), 0).when(F.col(day) > F.col("last_cutoff"), F.size("cutoffs"))
-                .otherwise(F.get("before", F.date_diff(day, "first_cutoff"))))
-
-    j = running.join(season_calendar(pairs), "season_id")
+    j = running.join(F.broadcast(season_calendar(pairs)), "season_id")  # a row for each season
     begin, end = place("game_date"), F.when(F.col("next_date").isNull(), F.size("cutoffs")).otherwise(place("next_date"))
     j = j.withColumn("cutoff_date", F.explode(F.slice("cutoffs", begin + 1, end - begin)))
     return _finish(j.withColumnRenamed("game_date", "last_date"))
@@ -253,11 +277,27 @@ def leaderboard_long(aggs: DataFrame) -> DataFrame:
     return wide.unpivot(ID_COLS, METRIC_NAMES, "metric_name", "metric_value")
 
 
-def rank_metrics(long: DataFrame, k: int) -> DataFrame:
+def rank_metrics(long: DataFrame, k: int, one_in: int = ONE_IN) -> DataFrame:
     """Rank per (cutoff, season, metric): value desc with NULLs first (trap T1), games desc,
-    player id asc; keep the first k. The planner adds a partial top-k before the shuffle."""
+    player id asc; keep the first k. The planner adds a partial top-k before the shuffle.
+
+    That partial top-k sorts all it is given, so rows that cannot be among the first k are left out before:
+    the k-th of any part of a group's rows bounds the k-th of all, and a row behind it has k others
+    ahead. The part is drawn by player, so that the totals of other players are not formed for it. About
+    k * ``one_in`` rows of a group are left, whatever its size; a group whose part has fewer than k rows has no
+    bound."""
+    keys = ["cutoff_date", "season_id", "metric_name"]
     order = [F.col("metric_value").desc_nulls_first(), F.col("games_played").desc(), F.col("player_id").asc()]
-    return top_k_per_group(long, ["cutoff_date", "season_id", "metric_name"], order, k, "rank")
+    part = long.filter(F.pmod(F.xxhash64("player_id"), F.lit(one_in)) == 0)
+    kth = top_k_per_group(part.select(*keys, "metric_value", "games_played", "player_id"), keys, order, k).filter(F.col("rank") == k)
+    kth = kth.select(*keys, F.col("metric_value").alias("_value"), F.col("games_played").alias("_games"), F.col("player_id").alias("_player"))
+    value, games, player = F.col("metric_value"), F.col("games_played"), F.col("player_id")
+    tied = (games > F.col("_games")) | ((games == F.col("_games")) & (player <= F.col("_player")))
+    ahead = (F.when(F.col("_value").isNull(), value.isNull() & tied)
+             .otherwise(value.isNull() | (value > F.col("_value")) | ((value == F.col("_value")) & tied)))
+    # At most one bound for each cutoff, season and metric.
+    bounded = long.join(F.broadcast(kth), keys, "left").filter(F.col("_player").isNull() | F.coalesce(ahead, F.lit(True)))
+    return top_k_per_group(bounded.select(*long.columns), keys, order, k, "rank")
 
 
 # -- the model --------------------------------------------------------------------------------
