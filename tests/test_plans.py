@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 
 from courtside.operators import dedupe
 from courtside.operators.joins import Dimension, join_dimension
+from courtside.operators.ranking import top_k_per_group
 from courtside.plans import leaderboard as LB
 from courtside.plans import incremental
 from courtside.registry import PARAMS, QUERIES, _apilogs_by_day, colocated, inputs, tables
+from courtside.sources import landing
+from courtside.sources.driver_fixtures import box_landing
 
 
 def _plan(df) -> str:
@@ -102,3 +105,42 @@ def test_the_mark_prunes_the_folders_of_the_input(spark, sf_dir):
     assert sorted(map(str, batch.select("*").collect())) == sorted(map(str, plain.collect()))
     with pytest.raises(Exception, match="(?i)parquet|checksum|file"):
         spark.read.schema(calls.schema).parquet(early[0]).collect()
+
+
+def test_a_filter_on_the_outcome_parses_each_payload_once(spark, sf_dir):
+    """The filter is moved below the parsing; what it then computes may name the payload once."""
+    plan = landing.quarantine(box_landing(tables(spark, sf_dir)))._jdf.queryExecution().optimizedPlan().toString()
+    filters = [line for line in plan.splitlines() if re.search(r"^[\s:+-]*Filter ", line) and "from_json" in line]
+    assert filters and all(line.count("from_json(") == 1 for line in filters)
+
+
+def test_player_lines_are_dealt_as_they_are_read(spark, sf_dir):
+    """Not as the wider rows made of them, whatever columns a query wants: all its uses can share one exchange."""
+    for df in (tables(spark, sf_dir).player_box, tables(spark, sf_dir).player_box.select("id", "pts")):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        below = plan.splitlines()[next(i for i, line in enumerate(plan.splitlines()) if "Window [" in line):]
+        assert not any(re.search(r"Project .* AS (pts|min|fga)#", line) for line in below)
+
+
+@pytest.mark.parametrize("one_in", [1, 2, 64])
+def test_bound_of_a_part_keeps_every_leader(spark, one_in):
+    """Ties, nulls and groups smaller than k, against the plain rank; fewer rows reach it."""
+    rows = spark.range(4000).select(
+        F.to_date(F.lit("2024-01-01")).alias("cutoff_date"), F.concat(F.lit("s"), F.col("id") % 3).alias("season_id"),
+        F.when(F.col("id") < 3970, F.lit("m")).otherwise("n").alias("metric_name"), F.col("id").alias("player_id"),
+        F.when((F.col("id") % 400 > 0) | (F.col("id") % 3 == 0), (F.col("id") % 5).cast("double")).alias("metric_value"),
+        (F.col("id") % 7).alias("games_played"))
+    got = LB.rank_metrics(rows, 20, one_in)
+    order = [F.col("metric_value").desc_nulls_first(), F.col("games_played").desc(), F.col("player_id").asc()]
+    want = top_k_per_group(rows, ["cutoff_date", "season_id", "metric_name"], order, 20)
+    assert got.columns == want.columns
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+@pytest.mark.parametrize("form", ["windowed", "direct"])
+def test_pairs_meet_summed_games_without_an_exchange(spark, sf_dir, form):
+    """Games are added up before they meet the pairs, and the totals of the pairs are hashed where the games were dealt."""
+    plan = _plan(LB.player_aggregates(inputs(tables(spark, sf_dir)), PARAMS, form)).split("== Initial Plan ==")[0]
+    totals = [line for line in plan.splitlines() if re.search(r"Aggregate\(keys?=\[cutoff_date#\d+, season_id", line)]
+    assert totals and all("HashAggregate" in line for line in totals)
+    assert not re.search(r"hashpartitioning\(cutoff_date#\d+, season_id", plan)
