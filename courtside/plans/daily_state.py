@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators import merge
+from ..operators.joins import cut_lineage, temporary
 from ..operators.ranking import global_row_number
 from ..session import scratch_path
 
@@ -60,29 +61,33 @@ class DailyState:
 
     def add(self, games: DataFrame, team_box: DataFrame) -> None:
         """Merge new rows of either input into the state."""
-        known = self._read("known", KNOWN)
-        listed = games.select("game_id", F.coalesce(F.col("game_date").cast("date"), F.lit(NO_DATE).cast("date")).alias("game_date"), "updated_at")
-        fresh = listed.select("game_id").filter("game_id IS NOT NULL").distinct().join(known, "game_id", "left_anti")
-        top = known.select(F.coalesce(F.max("number"), F.lit(0))).scalar()
-        self._append(global_row_number(fresh, ["game_id"], "n").withColumn("number", top + F.col("n")), "known", KNOWN)
-        # Where new games stand, and where games with a new box stood before.
-        new_boxes = team_box.filter("game_id IS NOT NULL").groupBy("game_id").agg(F.max("updated_at").alias("box_at"))
-        before = self._read("places", PLACES).join(new_boxes.select("game_id"), "game_id", "left_semi") \
-            .withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
-        placed = listed.unionByName(before)
-        boxes = self._read("boxes", BOXES).unionByName(new_boxes).join(placed.select("game_id"), "game_id", "left_semi") \
-            .groupBy("game_id").agg(F.max("box_at").alias("box_at"), F.lit(True).alias("boxed"))
-        dated = placed.join(self._read("known", KNOWN), "game_id", "left").join(boxes, "game_id", "left").select(
-            "game_date", "number", F.coalesce("boxed", F.lit(False)).alias("boxed"), F.greatest("updated_at", "box_at").alias("updated_at"))
-        delta = merge.materialize(self.spark, _rows(dated), "daily-delta")
-        days = self._read("days", STATE).select(*STATE.names)
-        merged = days.join(delta.select("game_date", "bucket"), ["game_date", "bucket"], "left_semi").unionByName(delta) \
-            .groupBy("game_date", "bucket").agg(F.bitmap_or_agg("games").alias("games"), F.bitmap_or_agg("boxed").alias("boxed"),
-                                                F.max("updated_at").alias("updated_at"))
-        merge.replace_in_partitions(self.spark, f"{self.root}/days", STATE, merged.select(*STATE.names), ["game_date", "bucket"], "month",
-                                    part=merge.month_of("game_date"))
-        self._append(listed.filter("game_id IS NOT NULL").select("game_id", "game_date").distinct(), "places", PLACES)
-        self._append(new_boxes, "boxes", BOXES)
+        with temporary(self.spark):
+            known = self._read("known", KNOWN)
+            listed = games.select("game_id", F.coalesce(F.col("game_date").cast("date"), F.lit(NO_DATE).cast("date")).alias("game_date"), "updated_at")
+            # Several steps read either input: each is read, and box rows are added up, once.
+            listed = cut_lineage(listed.distinct())
+            fresh = listed.select("game_id").filter("game_id IS NOT NULL").distinct().join(known, "game_id", "left_anti")
+            top = known.select(F.coalesce(F.max("number"), F.lit(0))).scalar()
+            self._append(global_row_number(fresh, ["game_id"], "n").withColumn("number", top + F.col("n")), "known", KNOWN)
+            # Where new games stand, and where games with a new box stood before.
+            new_boxes = team_box.filter("game_id IS NOT NULL").groupBy("game_id").agg(F.max("updated_at").alias("box_at"))
+            new_boxes = cut_lineage(new_boxes)
+            before = self._read("places", PLACES).join(new_boxes.select("game_id"), "game_id", "left_semi") \
+                .withColumn("updated_at", F.lit(None).cast("timestamp_ntz"))
+            placed = listed.unionByName(before)
+            boxes = self._read("boxes", BOXES).unionByName(new_boxes).join(placed.select("game_id"), "game_id", "left_semi") \
+                .groupBy("game_id").agg(F.max("box_at").alias("box_at"), F.lit(True).alias("boxed"))
+            dated = placed.join(self._read("known", KNOWN), "game_id", "left").join(boxes, "game_id", "left").select(
+                "game_date", "number", F.coalesce("boxed", F.lit(False)).alias("boxed"), F.greatest("updated_at", "box_at").alias("updated_at"))
+            delta = merge.materialize(self.spark, _rows(dated), "daily-delta")
+            days = self._read("days", STATE).select(*STATE.names)
+            merged = days.join(delta.select("game_date", "bucket"), ["game_date", "bucket"], "left_semi").unionByName(delta) \
+                .groupBy("game_date", "bucket").agg(F.bitmap_or_agg("games").alias("games"), F.bitmap_or_agg("boxed").alias("boxed"),
+                                                    F.max("updated_at").alias("updated_at"))
+            merge.replace_in_partitions(self.spark, f"{self.root}/days", STATE, merged.select(*STATE.names), ["game_date", "bucket"], "month",
+                                        part=merge.month_of("game_date"))
+            self._append(listed.filter("game_id IS NOT NULL").select("game_id", "game_date").distinct(), "places", PLACES)
+            self._append(new_boxes, "boxes", BOXES)
 
     def summary(self) -> DataFrame:
         """M6's rows."""

@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import cut_lineage
 from . import staging
 
 
@@ -79,7 +80,8 @@ def gbs_affected_keys(games: DataFrame, team_box: DataFrame, date_status: DataFr
     """I3 affected-keys: ``(fresh rows, replaced keys)`` of touched games, wherever they stood in
     ``target``, and of every game on a date whose status row changed."""
     mark = F.lit(since).cast("timestamp_ntz")
-    touched = _touched_games(games, team_box, mark).withColumn("_touched", F.lit(True))
+    # Read three times, for the games and for the rows of the target: made once.
+    touched = cut_lineage(_touched_games(games, team_box, mark)).withColumn("_touched", F.lit(True))
     days = date_status.filter(_since("last_checked", mark)).select(F.col("date").alias("game_date")).distinct() \
         .withColumn("_changed", F.lit(True))
 
