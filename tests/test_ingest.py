@@ -88,3 +88,17 @@ def test_checks_in_the_write_equal_the_plain_ones(spark, tmp_path):
     stored, found = C.write_checked(df, rules, f"file://{tmp_path}/t")
     assert rows(found) == rows(C.run_checks(df, rules)) and rows(stored) == rows(df)
     assert rows(C.write_checked(df, C.not_null("id"), f"file://{tmp_path}/u")[1]) == rows(C.run_checks(df, C.not_null("id")))
+
+
+def test_only_the_tables_stay(spark):
+    """The routed records and the copies between steps are deleted when the tables are stored."""
+    from pathlib import Path
+
+    from courtside.session import ensure_checkpoint_dir
+
+    folder = Path(ensure_checkpoint_dir(spark).removeprefix("file:")) / "courtside"
+    found = lambda: {p.name for p in folder.iterdir()} if folder.exists() else set()
+    before = found()
+    out = ingest.upsert_all(spark, {"player_box": make(spark, "player_box", [])}, landed(spark, box(1, 10)))
+    assert {n.rsplit("-", 1)[0] for n in found() - before} == set(out)
+    assert out["player_box"].count() == 2

@@ -144,3 +144,19 @@ def test_pairs_meet_summed_games_without_an_exchange(spark, sf_dir, form):
     totals = [line for line in plan.splitlines() if re.search(r"Aggregate\(keys?=\[cutoff_date#\d+, season_id", line)]
     assert totals and all("HashAggregate" in line for line in totals)
     assert not re.search(r"hashpartitioning\(cutoff_date#\d+, season_id", plan)
+
+
+def _game_responses(spark):
+    made = [("LeagueGameFinder", "2001-01-01", '{"LeagueGameFinderResults":[{"GAME_ID":"g1","TEAM_ID":7,"SEASON_ID":null}]}', dt.datetime(2001, 1, 2)),
+            ("LeagueGameFinder", "2001-01-02", None, dt.datetime(2001, 1, 3))]
+    return spark.createDataFrame(made, "endpoint string, request_key string, payload string, fetched_at timestamp_ntz")
+
+
+def test_a_payload_is_parsed_once_and_a_records_fields_are_one_element(spark):
+    split = landing.split_result_sets(_game_responses(spark))
+    plan = split._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json") == 1
+    assert [r["key_columns"] for r in split.collect()] == [["season_id", "team_id", "game_id"]]
+    typed = landing.records_as_table(split, landing.GAME_RESULT_SET, "games", arrival=True)
+    assert typed._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") == 1
+    assert [(r["game_id"], r["team_id"], r["season_id"], r["updated_at"]) for r in typed.collect()] == [("g1", 7, None, dt.datetime(2001, 1, 2))]
