@@ -280,9 +280,12 @@ def encode(docs: DataFrame, vocabulary: Vocabulary, text_col: str = "text", out_
     schema = T.StructType([*(docs.schema[c] for c in names), T.StructField(out_col, T.ArrayType(T.IntegerType()))])
 
     def run(batches):
-        for batch in batches:
-            ids = vocabulary.encode(batch.column(text_col).to_pylist())
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out_col])
+        try:
+            for batch in batches:
+                ids = vocabulary.encode(batch.column(text_col).to_pylist())
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), ids], [*names, out_col])
+        finally:
+            vocabulary.forget()  # the worker lives on and serves other steps
 
     return docs.mapInArrow(run, schema)
 

@@ -3,6 +3,7 @@ import re
 import time
 
 import numpy as np
+import pyarrow as pa
 
 from courtside.llm import pieces, queries
 from tests.llm.cases import edge_docs, edge_rows, no_docs
@@ -105,3 +106,15 @@ def test_memo_may_be_forgotten(monkeypatch):
     monkeypatch.setattr(pieces, "_MEMO", 8)
     assert [V.encode([t]).to_pylist()[0] for t in texts] == want
     assert V.decode(np.array(want[5])) == texts[5]
+
+
+def test_workers_hold_no_words_after_a_task(spark):
+    """A Python worker is used again by other steps: the words of the texts that it has encoded are let go."""
+    pieces.encode(spark.range(2000).selectExpr("id", "concat('word', id, ' ', uuid()) AS text"), pieces.load()).select("ids").collect()
+
+    def held(batches):
+        from courtside.llm import pieces
+        n = sum(len(v.memo) for v in pieces._KNOWN.values())
+        yield from (pa.RecordBatch.from_arrays([pa.array([n] * b.num_rows, pa.int64())], names=["n"]) for b in batches)
+
+    assert spark.range(64).mapInArrow(held, "n bigint").agg({"n": "max"}).first()[0] == 0
