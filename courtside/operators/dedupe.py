@@ -45,11 +45,11 @@ def official_then_newest(season_id: str = "season_id", updated_at: str = "update
     ]
 
 
-def canonical_player_box(player_box: DataFrame) -> DataFrame:
-    """Latest version per (game_id, player_id), rows with a null key dropped."""
+def canonical_player_box(player_box: DataFrame, of_game: list[str] | None = None) -> DataFrame:
+    """Latest version per (game_id, player_id), rows with a null key dropped; ``of_game`` are further columns to keep."""
     pb = player_box.filter(F.col("game_id").isNotNull() & F.col("player_id").isNotNull())
     cols = ["player_name", "team_id", "pts", "min", "ast", "reb", "dreb", "oreb", "stl", "blk", "pf",
-            "fgm", "fga", "fg3m", "fg3a", "ftm", "fta"]
+            "fgm", "fga", "fg3m", "fg3a", "ftm", "fta", *(of_game or [])]
     return keep_preferred(pb, ["game_id", "player_id"], newest_first(), cols)
 
 

@@ -48,6 +48,8 @@ ONE_IN = 64
 # ---------------------------------------------------------------------------------------------
 
 METRIC_NAMES = [f"avg_{m}" for m in AVG_METRICS] + COUNT_METRICS
+# What a game tells of each of its player lines.
+GAME_META = ["season_id", "game_date", "latest_season_game_date"]
 # Integer stats averaged directly; minutes are averaged from exact seconds.
 INT_STATS = [m for m in AVG_METRICS if m != "minutes"]
 
@@ -86,9 +88,10 @@ def processed_cutoffs(stg_status: DataFrame, start_date: str, existing: DataFram
     return c.distinct()
 
 
-def player_game_facts(player_box: DataFrame) -> DataFrame:
-    """Canonical lines of players who played, with two-point, minutes and ten-plus columns."""
-    pgs = canonical_player_box(player_box).filter(X.played("pts", "min"))
+def player_game_facts(player_box: DataFrame, of_game: list[str] | None = None) -> DataFrame:
+    """Canonical lines of players who played, with two-point, minutes and ten-plus columns; then the columns
+    ``of_game``, which are the same in all lines of a game."""
+    pgs = canonical_player_box(player_box, of_game).filter(X.played("pts", "min"))
     return pgs.select(
         "player_id", "player_name", "team_id", "game_id",
         *[F.col(s).cast("bigint").alias(s) for s in
@@ -98,6 +101,7 @@ def player_game_facts(player_box: DataFrame) -> DataFrame:
         F.col("min").alias("min_str"),
         X.minutes_seconds("min").alias("minutes_sec"),
         X.ten_plus_count("pts", "reb", "ast", "stl", "blk").alias("ten_plus_count"),
+        *(of_game or []),
     )
 
 
@@ -107,10 +111,22 @@ def season_latest_dates(games_canon: DataFrame) -> DataFrame:
             .select("season_id", F.to_date("latest_text", "yyyy-MM-dd").alias("latest_season_game_date")))
 
 
-def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame) -> DataFrame:
+def games_and_latest(games: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Canonical games that have an id, which player lines can meet, and the seasons' latest dates over all games.
+    Rows without an id are one game, picked apart, so that both read the same exchange of the others."""
+    known, unknown = (canonical_games(games.filter(c)) for c in ("game_id IS NOT NULL", "game_id IS NULL"))
+    return known, season_latest_dates(known.unionByName(unknown))
+
+
+def game_meta(games_canon: DataFrame, latest: DataFrame) -> DataFrame:
+    """``(game_id, season_id, game_date, latest_season_game_date)`` of the games of the seasons in ``latest``."""
     g = games_canon.select("game_id", "season_id", F.to_date("game_date", "yyyy-MM-dd").alias("game_date"))
+    return g.join(latest, "season_id").select("game_id", *GAME_META)
+
+
+def player_games_with_meta(facts: DataFrame, games_canon: DataFrame, latest: DataFrame) -> DataFrame:
     # Season and game ride along on the games, which are fewer than the player lines.
-    return facts.join(g.join(latest, "season_id"), "game_id")
+    return facts.join(game_meta(games_canon, latest), "game_id")
 
 
 def season_days(latest: DataFrame, first: Column, last: Column) -> DataFrame:
@@ -216,6 +232,14 @@ def place(day: str) -> Column:
             .otherwise(F.get("before", F.date_diff(day, "first_cutoff"))))
 
 
+def dealt_by_player(games: DataFrame) -> DataFrame:
+    """Game rows by season and player, in as many partitions as the session sets: a player's few games become a
+    row for every cutoff behind this exchange (and 20 for each of those in the long form), so its bytes, by which
+    adaptive execution would put partitions together, do not tell how much work they hold."""
+    n = int(games.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return games.repartition(n, "season_id", "player_id")
+
+
 # Columns of ``_group_aggs`` that add up over groups.
 ADDITIVE = ["n_games", "min_sum", "min_n", *[f"sum_{s}" for s in INT_STATS],
             *[f"n_{s}" for s in INT_STATS], *[f"t_{c}" for c in COUNT_METRICS]]
@@ -228,8 +252,8 @@ def aggregates_windowed(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     a name stands as its place among the player's names of the season."""
     calendar = F.broadcast(season_calendar(pairs))  # a row for each season
     first_seen = pgm.join(calendar, "season_id").withColumn("seen", F.get("cutoffs", place("game_date")))
-    dealt = first_seen.filter("seen IS NOT NULL").drop(*[c for c in calendar.columns if c != "season_id"]).repartition("season_id", "player_id")
-    parts = dealt.groupBy("season_id", "player_id", "seen").agg(*_group_aggs())
+    dealt = first_seen.filter("seen IS NOT NULL").drop(*[c for c in calendar.columns if c != "season_id"])
+    parts = dealt_by_player(dealt).groupBy("season_id", "player_id", "seen").agg(*_group_aggs())
     w = Window.partitionBy("season_id", "player_id")
     parts = parts.withColumn("names", F.sort_array(F.collect_set("player_name").over(w)))
     parts = parts.withColumn("name", F.array_position("names", F.col("player_name"))).drop("player_name")
@@ -247,7 +271,7 @@ def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
     from that date to the day before the next one: their places in the season's calendar are looked
     up by day, so only cutoffs that are hit are formed."""
     # Dealt once for the totals of a date and the window: a player has few games on a date to add up before.
-    daily = pgm.repartition("season_id", "player_id").groupBy("season_id", "player_id", "game_date").agg(*_group_aggs())
+    daily = dealt_by_player(pgm).groupBy("season_id", "player_id", "game_date").agg(*_group_aggs())
     # At most one row per calendar day of a season per player: the window never holds more
     # than a season's worth of dates, whatever the skew of players or teams.
     w = Window.partitionBy("season_id", "player_id").orderBy("game_date")
@@ -261,8 +285,9 @@ def aggregates_running(pgm: DataFrame, pairs: DataFrame) -> DataFrame:
 
     j = running.join(F.broadcast(season_calendar(pairs)), "season_id")  # a row for each season
     begin, end = place("game_date"), F.when(F.col("next_date").isNull(), F.size("cutoffs")).otherwise(place("next_date"))
-    j = j.withColumn("cutoff_date", F.explode(F.slice("cutoffs", begin + 1, end - begin)))
-    return _finish(j.withColumnRenamed("game_date", "last_date"))
+    j = j.withColumn("cutoff_date", F.slice("cutoffs", begin + 1, end - begin))
+    # All cutoffs of an interval see the same totals: the metrics are formed before the rows are.
+    return _finish(j.withColumnRenamed("game_date", "last_date")).withColumn("cutoff_date", F.explode("cutoff_date"))
 
 
 # -- reshaping and ranking --------------------------------------------------------------------
@@ -311,16 +336,17 @@ class Inputs:
 
 def build_meta(inp: Inputs, seasons_in_play: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Facts joined to canonical game metadata, and the seasons' latest dates. With ``seasons_in_play``
-    only games of those seasons meet the player facts (the season choice itself still sees every
-    game row): player lines of other games cannot reach the output, and every version of a (game,
-    player) shares its game id, so they are left out before the dedupe."""
-    games_canon = canonical_games(inp.games)
-    latest = season_latest_dates(games_canon)
-    player_box = inp.player_box
-    if seasons_in_play is not None:
-        games_canon = games_canon.join(seasons_in_play, "season_id", "left_semi")
-        player_box = player_box.join(games_canon.select("game_id"), "game_id", "left_semi")
-    return player_games_with_meta(player_game_facts(player_box), games_canon, latest), latest
+    (their ids and latest dates) only games of those seasons meet the player facts (the season choice itself
+    still sees every game row): player lines of other games cannot reach the output.
+
+    A game id has one canonical game, so lines meet it before the dedupe as well as after: every version of a
+    (game, player) has the same game. So all steps of a line are done where its game was dealt, and lines of games
+    that are not in play are left out before the first. Seasons are few, and broadcast, so that games are not dealt
+    by them."""
+    games_canon, latest = games_and_latest(inp.games)
+    g = game_meta(games_canon, F.broadcast(latest if seasons_in_play is None else seasons_in_play))
+    facts = player_game_facts(inp.player_box.join(g, "game_id"), GAME_META)
+    return facts.select("game_id", *[c for c in facts.columns if c != "game_id"]), latest
 
 
 def stg_status(date_status: DataFrame) -> DataFrame:
@@ -334,11 +360,11 @@ def player_aggregates(inp: Inputs, p: Params, form: str = "running",
     if form == "direct":
         pgm, latest = build_meta(inp)
         return aggregates_direct(pgm, cutoffs, latest, p)
-    pairs = season_cutoffs(cutoffs, season_latest_dates(canonical_games(inp.games)), p)
+    pairs = season_cutoffs(cutoffs, games_and_latest(inp.games)[1], p)
     # Only seasons whose snapshot window holds a cutoff can reach the output: the running form
     # prunes the game history to them before the fact join, so a daily run aggregates recent
     # seasons only (the windowed form's pair join already drops the rest).
-    in_play = pairs.select("season_id").distinct() if prune_seasons and form == "running" else None
+    in_play = pairs.select("season_id", "latest_season_game_date").distinct() if prune_seasons and form == "running" else None
     pgm, _ = build_meta(inp, in_play)
     if form == "windowed":
         return aggregates_windowed(pgm, pairs)

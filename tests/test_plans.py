@@ -15,6 +15,7 @@ from courtside.plans import incremental
 from courtside.registry import PARAMS, QUERIES, _apilogs_by_day, colocated, inputs, tables
 from courtside.sources import landing
 from courtside.sources.driver_fixtures import box_landing
+from tests.conftest import make
 
 
 def _plan(df) -> str:
@@ -160,3 +161,59 @@ def test_a_payload_is_parsed_once_and_a_records_fields_are_one_element(spark):
     typed = landing.records_as_table(split, landing.GAME_RESULT_SET, "games", arrival=True)
     assert typed._jdf.queryExecution().optimizedPlan().toString().count("lambdafunction") == 1
     assert [(r["game_id"], r["team_id"], r["season_id"], r["updated_at"]) for r in typed.collect()] == [("g1", 7, None, dt.datetime(2001, 1, 2))]
+
+
+def _league(spark, players=60):
+    """Two seasons in play, one long over; each player has two games of each; rows without a game id."""
+    seasons = {"22024": ("2024-11-01", "2024-11-03"), "42024": ("2024-11-02", "2024-11-04"), "22019": ("2019-11-01", "2019-11-02")}
+    games = [{"id": 10 * i + k, "season_id": s, "team_id": 1, "game_id": f"{s}-{k}", "game_date": d}
+             for i, (s, days) in enumerate(seasons.items()) for k, d in enumerate(days)]
+    lines = [{"id": 1000 * p + g["id"], "game_id": g["game_id"], "player_id": p, "player_name": f"p{p}", "team_id": g["id"] % 3,
+              "pts": p % 7 + g["id"], "min": "10:00"} for p in range(players) for g in games]
+    nowhere = [{"id": 900, "season_id": "22024", "team_id": 1, "game_id": None, "game_date": "2024-11-05", "updated_at": dt.datetime(2024, 11, 6)},
+               {"id": 901, "season_id": "22024", "team_id": 1, "game_id": None, "game_date": "2024-11-20"}]
+    lines.append({"id": 1, "game_id": None, "player_id": 1, "player_name": "p1", "team_id": 1, "pts": 99, "min": "10:00"})
+    days = [{"date": dt.date(2024, 11, d), "status": "processed"} for d in range(1, 6)]
+    return LB.Inputs(make(spark, "player_box", lines), make(spark, "games", games + nowhere), make(spark, "date_status", days))
+
+
+LEAGUE = LB.Params(start_date="2024-10-01", as_of="2024-12-01 00:00:00")
+
+
+def _long(spark):
+    return LB.leaderboard_long(LB.player_aggregates(_league(spark), LEAGUE))
+
+
+def test_long_form_of_a_league(spark):
+    """Every cutoff from a player's first game on; the row without a game id gives the season its latest date, and no points."""
+    got = {(r["cutoff_date"].day, r["season_id"]): (r["metric_value"], r["games_played"], r["latest_season_game_date"].day, r["team_id"])
+           for r in _long(spark).filter("player_id = 8 AND metric_name = 'avg_pts'").collect()}
+    assert got == {(1, "22024"): (1.0, 1, 5, 0), (2, "22024"): (1.0, 1, 5, 0), (3, "22024"): (1.5, 2, 5, 1), (4, "22024"): (1.5, 2, 5, 1),
+                   (5, "22024"): (1.5, 2, 5, 1), (2, "42024"): (11.0, 1, 4, 1), (3, "42024"): (11.0, 1, 4, 1),
+                   (4, "42024"): (11.5, 2, 4, 2), (5, "42024"): (11.5, 2, 4, 2)}
+    assert _long(spark).count() == 60 * 9 * 20
+
+
+@pytest.mark.parametrize("form", ["running", "windowed"])
+def test_rows_of_the_long_form_stay_in_all_partitions(spark, form):
+    """A player's rows become many behind their exchange: it is not put together by the few bytes that it holds."""
+    long = LB.leaderboard_long(LB.player_aggregates(_league(spark), LEAGUE, form))
+    assert long.select(F.spark_partition_id()).distinct().count() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_metrics_are_formed_before_the_cutoffs(spark):
+    plan = _long(spark)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    cutoffs = next(i for i, line in enumerate(plan) if "Generate explode(cutoff_date" in line)
+    assert not any("AS avg_pts#" in line for line in plan[:cutoffs]) and any("AS avg_pts#" in line for line in plan[cutoffs:])
+
+
+def test_long_form_deals_lines_once_and_games_once_and_never_by_season(spark, sf_dir):
+    """With joins left to sorting, as on large tables: lines are dealt by game, then by player; games by their id."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _plan(LB.leaderboard_long(LB.player_aggregates(inputs(tables(spark, sf_dir)), PARAMS)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin [season_id" not in plan
+    assert "hashpartitioning(l_orderkey" not in plan and not re.search(r"hashpartitioning\(game_id#\d+, player_id", plan)
