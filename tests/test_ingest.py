@@ -102,3 +102,68 @@ def test_only_the_tables_stay(spark):
     out = ingest.upsert_all(spark, {"player_box": make(spark, "player_box", [])}, landed(spark, box(1, 10)))
     assert {n.rsplit("-", 1)[0] for n in found() - before} == set(out)
     assert out["player_box"].count() == 2
+
+
+def test_a_table_is_merged_by_parts_of_its_keys(spark, monkeypatch):
+    """The rows of one join, whatever the parts: keys that hold a null, keys that the target holds twice, repeats."""
+    from pyspark.sql import functions as F
+
+    from courtside.operators.joins import held_path, temporary
+
+    monkeypatch.setattr(merge, "PART_BYTES", 1)
+    line = lambda i, g, t, pts: {"id": i, "game_id": g, "team_id": t, "pts": pts, "team_city": f"c{i}"}
+    keys = ["team_id", "game_id"]
+    target = make(spark, "team_box", [line(i, f"g{i % 20}", 7, i) for i in range(40)] + [line(90, None, 7, 1), line(91, None, 7, 2), line(92, "g1", None, 3)])
+    found = [line(0, f"g{i % 30}", 7 + i % 2, 100 + i) for i in range(90)] + [line(0, None, 7, 1000), line(0, None, None, 1001), line(0, None, 7, 1002)]
+    batch = make(spark, "team_box", found).drop("id", "team_city").withColumn(
+        "arrival", F.struct(F.lit(dt.datetime(2024, 1, 1)).alias("fetched_at"), F.lit("k").alias("request_key"), F.col("pts").alias("position")))
+    plain = merge.upsert(target, merge.latest_per_key(batch, keys, F.col("arrival")).drop("arrival"), keys)
+    with temporary(spark):
+        batch.write.parquet(path := held_path(spark, "read"))
+        joins = []
+        monkeypatch.setattr(merge, "_merged", lambda *a, f=merge._merged: (joins.append(a), f(*a))[1])
+        got = merge.upsert_by_parts(spark, target, spark.read.schema(batch.schema).parquet(path), keys, "arrival", read=[path])
+        assert len(joins) == merge.MOST_PARTS
+        assert not spark._jvm.java.io.File(path.removeprefix("file:")).exists()
+        assert rows(got) == rows(plain)
+        unnumbered = merge.upsert_by_parts(spark, target.drop("id"), batch, keys, "arrival")
+        assert rows(unnumbered) == rows(plain.drop("id"))
+
+
+def test_responses_of_several_sources_are_routed_one_after_another(spark):
+    held = {"player_box": make(spark, "player_box", [{"id": 1, "game_id": "g0", "team_id": 7, "player_id": 9}])}
+    first, second = landed(spark, box(2, 20)), landed(spark, box(1, 10), ("BoxScoreSummaryV2", "g1", 3, {"GameSummary": [{"GAME_ID": "g1"}]}))
+    both, one = ingest.upsert_all(spark, held, [first, second]), ingest.upsert_all(spark, held, first.unionByName(second))
+    assert set(both) == set(one) and len(one) == 3 and all(rows(both[n]) == rows(one[n]) for n in one)
+
+
+def test_result_sets_whose_names_differ_by_case_share_a_table(spark):
+    twice = ("BoxScoreSummaryV2", "g1", 3, {"Officials": [{"NAME": "a"}], "OFFICIALS": [{"NAME": "b"}]})
+    out = ingest.upsert_all(spark, {}, landed(spark, twice))
+    assert sorted(r["name"] for r in out["boxscoresummaryv2__officials"].collect()) == ["a", "b"]
+
+
+def test_box_responses_hold_the_rows_of_the_three_tables(spark, tmp_path):
+    """Odd lines: numbers that are null or below zero, repeats, a game whose team box is missing, lines without a game."""
+    from courtside.sources import landing
+    from courtside.sources.driver_fixtures import DriverTables, box_landing
+
+    day = dt.datetime(2001, 1, 1)
+    line = lambda k, n, q=3.0, p=5: (k, p, 7, n, q, 1.0, 0.05, 0.02, day if p else None)
+    lines = [line(10, 1), line(10, 1), line(10, 2, None), line(10, 6, 2.5), line(10, 7, 2.5, None), line(13, 1), line(13, 2), line(14, None), line(14, -1),
+             line(14, 5), line(99, 1), line(None, 1)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+                          "l_discount double, l_tax double, l_shipdate timestamp_ntz").write.parquet(f"file://{tmp_path}/lineitem.parquet")
+    spark.createDataFrame([(k, 1, day, "1-URGENT", "F") for k in (10, 13, 14, 15, None)], "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, "
+                          "o_orderpriority string, o_orderstatus string").write.parquet(f"file://{tmp_path}/orders.parquet")
+    t = DriverTables(spark, f"file://{tmp_path}")
+    expected = {k: {} for k in ("10", "13", "14", "15")}
+    for name, table in landing.BOX_RESULT_SETS.items():
+        for r in sorted(getattr(t, table).collect(), key=lambda r: (r["id"] is not None, r["id"])):
+            if r["game_id"] in expected:
+                expected[r["game_id"]].setdefault(name, []).append(
+                    {k.upper(): v for k, v in r.asDict().items() if v is not None and k not in ("id", "updated_at")})
+    assert {r["request_key"]: json.loads(r["payload"]) for r in box_landing(t).collect()} == expected
+    assert "TeamStats" not in expected["13"] and expected["15"] == {} and len(expected["14"]["TeamStarterBenchStats"]) == 3
+    scans = lambda df: df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet")
+    assert scans(box_landing(t)) == 2  # the games, and the lines once for all three
