@@ -61,7 +61,7 @@ class Centroids:
     entries: np.ndarray
 
     @classmethod
-    def fit(cls, sample: np.ndarray, lists: int, degree: int = 24) -> Centroids:
+    def fit(cls, sample: np.ndarray, lists: int, degree: int = 32) -> Centroids:
         parts, rng = [unit(sample)], np.random.default_rng(7)
         while len(parts) < lists:
             parts.sort(key=len)
